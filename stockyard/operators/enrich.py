@@ -1,4 +1,8 @@
-"""Intermediate tables: facts joined to their dimensions, with the business measures."""
+"""Intermediate tables: facts joined to their dimensions, with the business measures.
+
+Pass dimensions through `joins.sized` to have small ones broadcast. A dimension with several rows
+per key fans the facts out; reduce it with `incremental.latest_by_key` first where that is unwanted.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,6 @@ from pyspark.sql import functions as F
 
 from stockyard.functions import rules
 from stockyard.functions.cleaning import MONEY
-from stockyard.operators.joins import attach
 
 
 def inventory_health(
@@ -15,7 +18,7 @@ def inventory_health(
 ) -> DataFrame:
     """Stock level against reorder threshold, for products in the master list."""
     ratio = rules.stock_ratio(F.col("quantity_available"), F.col("reorder_threshold"), on_zero)
-    joined = attach(inventory, products.select("product_id", "product_name"), "product_id")
+    joined = inventory.join(products.select("product_id", "product_name"), "product_id")
     return joined.select(
         "warehouse_id",
         "product_id",
@@ -32,8 +35,9 @@ def shipment_performance(
     shipments: DataFrame, products: DataFrame, stores: DataFrame
 ) -> DataFrame:
     """Delay of each delivery against its promised date."""
-    joined = attach(shipments, products.select("product_id", "product_name", "category"), "product_id")
-    joined = attach(joined, stores.select("store_id", "store_name", "region", "city"), "store_id")
+    product = products.select("product_id", "product_name", "category")
+    store = stores.select("store_id", "store_name", "region", "city")
+    joined = shipments.join(product, "product_id").join(store, "store_id")
     expected, actual = F.col("expected_delivery_date"), F.col("actual_delivery_date")
     return joined.select(
         "shipment_id",
@@ -68,7 +72,7 @@ def supplier_products(products: DataFrame, suppliers: DataFrame) -> DataFrame:
         F.col("supplier_id").alias("sid"),
     )
     matched = supplier.withColumn("supplier_id", F.col("sid"))
-    return attach(product, matched, "sid", "left").select(
+    return product.join(matched, "sid", "left").select(
         "supplier_id",
         "supplier_name",
         "supplier_category",
@@ -93,7 +97,7 @@ def transactions_enriched(transactions: DataFrame, products: DataFrame) -> DataF
     )
     quantity, price = F.col("quantity_sold"), F.col("selling_unit_price")
     money = (
-        attach(transactions, product, "product_id", "left")
+        transactions.join(product, "product_id", "left")
         .withColumnRenamed("unit_price", "selling_unit_price")
         .select(
             "transaction_id",
@@ -135,7 +139,7 @@ def lane_efficiency(
         F.col("city").alias("warehouse_city"),
         F.col("state").alias("warehouse_state"),
     )
-    joined = attach(attach(shipments, store, "store_id"), warehouse, "warehouse_id")
+    joined = shipments.join(store, "store_id").join(warehouse, "warehouse_id")
     lanes = joined.select(
         "shipment_id",
         "warehouse_id",

@@ -1,4 +1,4 @@
-"""Joining facts to lookup tables whose size is not known in advance."""
+"""Deciding how a lookup table reaches the facts it is joined to."""
 
 from __future__ import annotations
 
@@ -27,12 +27,8 @@ def sized(
 
     Static estimates multiply up over joins, so a small derived lookup would otherwise shuffle the
     whole fact table before adaptive execution could notice. Beyond the bounds the join shuffles
-    and adaptive execution splits hot key partitions.
+    and adaptive execution splits hot key partitions. The hint survives column selection, so one
+    measured lookup serves several joins.
     """
     rows, size = measured_size(lookup)
     return F.broadcast(lookup) if rows <= max_rows and size <= max_bytes else lookup
-
-
-def attach(fact: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Equi-join the lookup's columns to the fact. Several lookup rows per key fan the fact out."""
-    return fact.join(sized(lookup), key, how)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockyard.functions import rules
-from stockyard.operators.joins import attach
 
 
 def dim_products(products: DataFrame) -> DataFrame:
@@ -54,7 +53,7 @@ def fct_regional_sales(transactions: DataFrame, stores: DataFrame) -> DataFrame:
         F.sum("quantity_sold").alias("quantity"), F.sum("net_revenue").alias("revenue")
     )
     return (
-        attach(per_store, stores.select("store_id", "region"), "store_id")
+        per_store.join(stores.select("store_id", "region"), "store_id")
         .groupBy("region")
         .agg(
             F.sum("quantity").alias("total_quantity_sold"),

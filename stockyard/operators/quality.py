@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.operators.joins import sized
 
 
 @dataclass(frozen=True)
@@ -69,11 +68,12 @@ def unique(df: DataFrame, column: str) -> DataFrame:
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child values without a parent, with the number of rows holding them.
 
-    The child is counted per value first, so a value held by very many rows is joined once.
+    The child is counted per value first, so a value held by very many rows is joined once, and
+    both sides arrive partitioned by value.
     """
     counts = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
     known = parent.select(F.col(parent_column).alias(column)).distinct()
-    return counts.join(sized(known), column, "left_anti")
+    return counts.join(known, column, "left_anti")
 
 
 def shipment_date_order(shipments: DataFrame) -> DataFrame:

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from stockyard.operators import enrich, marts, staging
+from stockyard.operators.joins import sized
 
 
 @dataclass(frozen=True)
 class Model:
-    """A table of a layer. `build` takes the inputs in order.
+    """A table of a layer. `build` takes the inputs and then the lookups, in order.
 
     `kept` says how it is materialised: view, table, or incremental (upserted by `keys` with the
     rows of the first input that are newer than the table's high-water mark).
@@ -23,7 +24,8 @@ class Model:
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
     kept: str = "view"
-    keys: tuple[str, ...] = field(default=())
+    keys: tuple[str, ...] = ()
+    lookups: tuple[str, ...] = ()
 
 
 def _staging(name: str, kept: str = "view", keys: tuple[str, ...] = ()) -> Model:
@@ -53,40 +55,45 @@ MODELS = {
         Model(
             "int_inventory_health",
             "intermediate",
-            ("stg_inventory", "stg_products"),
+            ("stg_inventory",),
             enrich.inventory_health,
             "incremental",
             ("warehouse_id", "product_id"),
+            ("stg_products",),
         ),
         Model(
             "int_shipments_performance",
             "intermediate",
-            ("stg_shipments", "stg_products", "stg_stores"),
+            ("stg_shipments",),
             enrich.shipment_performance,
             "incremental",
             ("shipment_id", "warehouse_id"),
+            ("stg_products", "stg_stores"),
         ),
         Model(
             "int_supplier_products",
             "intermediate",
-            ("stg_products", "stg_suppliers"),
+            ("stg_products",),
             enrich.supplier_products,
+            lookups=("stg_suppliers",),
         ),
         Model(
             "int_transactions_enriched",
             "intermediate",
-            ("stg_transactions", "stg_products"),
+            ("stg_transactions",),
             enrich.transactions_enriched,
             "incremental",
             ("transaction_id", "product_id", "store_id"),
+            ("stg_products",),
         ),
         Model(
             "int_warehouse_to_store_efficiency",
             "intermediate",
-            ("stg_shipments", "stg_stores", "stg_warehouses"),
+            ("stg_shipments",),
             enrich.lane_efficiency,
             "incremental",
             ("warehouse_id", "store_id", "shipment_id"),
+            ("stg_stores", "stg_warehouses"),
         ),
         Model("dim_products", "marts", ("stg_products",), marts.dim_products, "table"),
         Model("dim_stores", "marts", ("stg_stores",), marts.dim_stores, "table"),
@@ -102,9 +109,10 @@ MODELS = {
         Model(
             "fct_regional_sales",
             "marts",
-            ("stg_transactions", "stg_stores"),
+            ("stg_transactions",),
             marts.fct_regional_sales,
             "table",
+            lookups=("stg_stores",),
         ),
         Model("fct_inventory", "marts", ("int_inventory_health",), marts.fct_inventory, "table"),
         Model(
@@ -122,19 +130,27 @@ class Views:
     """All models as lazy DataFrames over a supply of raw tables, each built once."""
 
     def __init__(self, raw: Callable[[str], DataFrame], as_of=None):
-        self._raw, self._as_of, self._built = raw, as_of, {}
+        self._raw, self._as_of = raw, as_of
+        self._built: dict[str, DataFrame] = {}
+        self._lookups: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             self._built[name] = self._make(name)
         return self._built[name]
 
+    def lookup(self, name: str) -> DataFrame:
+        """A model as the lookup side of joins, its size measured once."""
+        if name not in self._lookups:
+            self._lookups[name] = sized(self[name])
+        return self._lookups[name]
+
     def _make(self, name: str) -> DataFrame:
         if name.startswith("raw_"):
             return self._raw(name.removeprefix("raw_"))
         model = MODELS[name]
-        inputs = [self[i] for i in model.inputs]
-        return model.build(*inputs, self._as_of) if model.layer == "staging" else model.build(*inputs)
+        tables = [self[i] for i in model.inputs] + [self.lookup(i) for i in model.lookups]
+        return model.build(*tables, self._as_of) if model.layer == "staging" else model.build(*tables)
 
     def layer(self, layer: str) -> dict[str, DataFrame]:
         return {m.name: self[m.name] for m in MODELS.values() if m.layer == layer}

@@ -271,7 +271,9 @@ def _write_json_arrays(df: DataFrame, key: str, path: str, per_file: int = 50_00
     count = df.count() // per_file + 1
     record, number = F.struct(*df.columns), F.pmod(F.xxhash64(key), F.lit(count))
     arrays = df.groupBy(number.alias("file")).agg(F.to_json(F.collect_list(record)).alias("value"))
-    arrays.write.partitionBy("file").text(path)
+    # One unquoted cell per file: the CSV writer is the one whose file extension can be chosen.
+    bare = arrays.write.option("quote", "").option("escapeQuotes", False).option("sep", "\u0001")
+    bare.option("extension", "json").partitionBy("file").csv(path)
 
 
 @register("csv_scan", oracle.incoming("transactions"))

@@ -49,7 +49,9 @@ def read_json(
 ) -> DataFrame:
     """JSON files holding an array of records or one single record each; one task per file."""
     reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
-    return (reader.schema(schema) if schema is not None else reader).json(paths)
+    if schema is None:
+        return reader.json(paths)
+    return reader.schema(schema).json(paths).select(*schema.names)
 
 
 def read_parquet(spark: SparkSession, paths: str | list[str]) -> DataFrame:
