@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The placeholder each missing key receives.
 MISSING_WAREHOUSE = "WH-XXX"
@@ -41,10 +42,17 @@ def clean_id(col: Column | str, default: str = MISSING_TEXT) -> Column:
     return F.upper(clean_string(col, default))
 
 
-def clean_number(col: Column | str, default: int = 0) -> Column:
-    """Whole number, rounded half away from zero, without its sign."""
-    whole = F.abs(_col(col).cast("decimal(38,0)")).cast("bigint")
-    return F.coalesce(whole, F.lit(default).cast("bigint"))
+def clean_number(
+    col: Column | str, default: int = 0, kind: T.DataType | None = None
+) -> Column:
+    """Whole number, rounded half away from zero, without its sign.
+
+    `kind` is the column's type if known: whole numbers need no rounding and stay off decimals.
+    """
+    value = _col(col)
+    if not isinstance(kind, T.IntegralType):
+        value = value.cast("decimal(38,0)")
+    return F.coalesce(F.abs(value.cast("bigint")), F.lit(default).cast("bigint"))
 
 
 def clean_decimal(col: Column | str, default: str | int = 0) -> Column:

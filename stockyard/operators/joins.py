@@ -21,14 +21,18 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
 
 
 def sized(
-    lookup: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS
+    lookup: DataFrame,
+    measured: DataFrame | None = None,
+    max_bytes: int = BROADCAST_BYTES,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The lookup with a broadcast hint if it is measured to be small, else unchanged.
 
-    Static estimates multiply up over joins, so a small derived lookup would otherwise shuffle the
-    whole fact table before adaptive execution could notice. Beyond the bounds the join shuffles
-    and adaptive execution splits hot key partitions. The hint survives column selection, so one
-    measured lookup serves several joins.
+    `measured` may name a table that is no smaller but cheaper to compute, such as the rows before
+    de-duplication. Static estimates multiply up over joins, so a small derived lookup would
+    otherwise shuffle the whole fact table before adaptive execution could notice. Beyond the
+    bounds the join shuffles and adaptive execution splits hot key partitions. The hint survives
+    column selection, so one measured lookup serves several joins.
     """
-    rows, size = measured_size(lookup)
+    rows, size = measured_size(lookup if measured is None else measured)
     return F.broadcast(lookup) if rows <= max_rows and size <= max_bytes else lookup

@@ -93,26 +93,57 @@ def _result(check: Check, failures: Column) -> Column:
     )
 
 
-def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]) -> DataFrame:
-    """One row per check of one table: table_name, column_name, check_name, failures.
+def _result_rows(counts: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row of failure counts f0, f1, … turned into one row per check."""
+    results = F.array(*[_result(c, F.col(f"f{i}")) for i, c in enumerate(checks)])
+    return counts.select(F.explode(results).alias("r")).select("r.*")
 
-    All row checks share one aggregate over the table; `unique` and `relationships` add one each.
-    """
-    per_row = [c for c in checks if c.kind not in ("unique", "relationships")]
+
+def _row_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All row checks in one aggregate over the table."""
+    return df.agg(*[F.count_if(failing(c)).alias(f"f{i}") for i, c in enumerate(checks)])
+
+
+def _value_failures(
+    df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]
+) -> DataFrame:
+    """All unique and relationships checks in one count per checked value."""
+    pairs = F.array(
+        *[F.struct(F.lit(i).alias("i"), _text(c.column).alias("value")) for i, c in enumerate(checks)]
+    )
+    values = df.select(F.explode(pairs).alias("p")).select("p.*").filter("value IS NOT NULL")
+    counts = values.groupBy("i", "value").agg(F.count("*").alias("rows"))
+    known = [
+        parents[c.parent[0]].select(F.lit(i).alias("i"), _text(c.parent[1]).alias("value"))
+        for i, c in enumerate(checks)
+        if c.parent
+    ]
+    orphan = F.lit(False)
+    if known:
+        # Counts and parents arrive partitioned by the same pair, so the join adds no shuffle.
+        parent = reduce(DataFrame.unionAll, known).distinct().withColumn("known", F.lit(True))
+        counts = counts.join(parent, ["i", "value"], "left")
+        orphan = F.col("known").isNull()
+    totals = []
+    for i, c in enumerate(checks):
+        here = F.col("i") == i
+        failed = F.sum(F.when(here & orphan, F.col("rows"))) if c.parent else F.count_if(
+            here & (F.col("rows") > 1)
+        )
+        totals.append(failed.alias(f"f{i}"))
+    return counts.agg(*totals)
+
+
+def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]) -> DataFrame:
+    """One row per check of one table: table_name, column_name, check_name, failures."""
+    by_value = [c for c in checks if c.kind in ("unique", "relationships")]
+    by_row = [c for c in checks if c not in by_value]
     parts = []
-    if per_row:
-        counted = df.agg(*[F.count_if(failing(c)).alias(f"f{i}") for i, c in enumerate(per_row)])
-        results = F.array(*[_result(c, F.col(f"f{i}")) for i, c in enumerate(per_row)])
-        parts.append(counted.select(F.explode(results).alias("r")))
-    for c in checks:
-        if c.kind == "unique":
-            parts.append(unique(df, c.column).agg(F.count("*").alias("n")).select(
-                _result(c, F.col("n")).alias("r")))
-        elif c.kind == "relationships":
-            orphans = relationships(df, c.column, parents[c.parent[0]], c.parent[1])
-            parts.append(orphans.agg(F.sum("rows").alias("n")).select(
-                _result(c, F.col("n")).alias("r")))
-    return reduce(DataFrame.unionAll, parts).select("r.*")
+    if by_row:
+        parts.append(_result_rows(_row_failures(df, by_row), by_row))
+    if by_value:
+        parts.append(_result_rows(_value_failures(df, by_value, parents), by_value))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def run_suite(

@@ -6,7 +6,7 @@ for missing dates (today if omitted).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockyard.functions import rules
@@ -26,6 +26,10 @@ from stockyard.functions.cleaning import (
 )
 
 
+def _whole(raw: DataFrame, column: str) -> Column:
+    return clean_number(column, kind=raw.schema[column].dataType)
+
+
 def stg_warehouses(raw: DataFrame, as_of=None) -> DataFrame:
     return raw.select(
         clean_id("warehouse_id", MISSING_WAREHOUSE).alias("warehouse_id"),
@@ -73,8 +77,8 @@ def stg_inventory(raw: DataFrame, as_of=None) -> DataFrame:
     return raw.select(
         clean_id("warehouse_id", MISSING_WAREHOUSE).alias("warehouse_id"),
         clean_id("product_id", MISSING_PRODUCT).alias("product_id"),
-        clean_number("quantity_available").alias("quantity_available"),
-        clean_number("reorder_threshold").alias("reorder_threshold"),
+        _whole(raw, "quantity_available").alias("quantity_available"),
+        _whole(raw, "reorder_threshold").alias("reorder_threshold"),
         date_or("snapshot_date", as_of).alias("snapshot_date"),
         *lineage("s3_extraction_date"),
     ).distinct()
@@ -86,7 +90,7 @@ def stg_shipments(raw: DataFrame, as_of=None) -> DataFrame:
         clean_id("warehouse_id", MISSING_WAREHOUSE).alias("warehouse_id"),
         clean_id("store_id", MISSING_STORE).alias("store_id"),
         clean_id("product_id", MISSING_PRODUCT).alias("product_id"),
-        clean_number("quantity_shipped").alias("quantity_shipped"),
+        _whole(raw, "quantity_shipped").alias("quantity_shipped"),
         date_or("shipment_date", as_of).alias("shipment_date"),
         date_or("expected_delivery_date", as_of).alias("expected_delivery_date"),
         date_or("actual_delivery_date", as_of).alias("actual_delivery_date"),
@@ -96,7 +100,7 @@ def stg_shipments(raw: DataFrame, as_of=None) -> DataFrame:
 
 
 def stg_transactions(raw: DataFrame, as_of=None) -> DataFrame:
-    quantity = clean_number("quantity_sold")
+    quantity = _whole(raw, "quantity_sold")
     price = clean_decimal("unit_price")
     discount = F.abs(F.col("discount_pct").cast("decimal(3,2)"))
     return raw.select(

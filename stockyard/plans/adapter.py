@@ -19,13 +19,22 @@ class Source:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table, its footers read once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def raw(self, name: str) -> DataFrame:
         return RAW[name](self)
 
+    def spread(self, name: str, *columns: str) -> DataFrame:
+        """The table over all cores, where its files are too few to occupy them."""
+        df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
+
 
 def _id(prefix: str, key: Column | str) -> Column:
     digits = F.lpad((F.col(key) if isinstance(key, str) else key).cast("string"), 12, "0")
@@ -131,7 +140,7 @@ def warehouses(src: Source) -> DataFrame:
 
 def _lines(src: Source) -> DataFrame:
     """Order lines with their customer; the id takes in the price to be unique."""
-    line = src.table("lineitem")
+    line = src.spread("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     order = src.table("orders").select("o_orderkey", "o_custkey")
     cents = (F.col("l_extendedprice").cast("decimal(12,2)") * 100).cast("bigint")
     line_id = F.concat_ws(

@@ -140,9 +140,9 @@ class Views:
         return self._built[name]
 
     def lookup(self, name: str) -> DataFrame:
-        """A model as the lookup side of joins, its size measured once."""
+        """A staging model as the lookup side of joins, its size measured once on the raw rows."""
         if name not in self._lookups:
-            self._lookups[name] = sized(self[name])
+            self._lookups[name] = sized(self[name], self[MODELS[name].inputs[0]])
         return self._lookups[name]
 
     def _make(self, name: str) -> DataFrame:
