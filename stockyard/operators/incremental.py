@@ -16,7 +16,7 @@ def high_water_mark(target: DataFrame, column: str = "ingestion_date"):
 
 
 def newer_than(df: DataFrame, mark, column: str = "ingestion_date") -> DataFrame:
-    """Rows strictly after the mark; without a mark (first load) all rows.
+    """Rows strictly after the mark (a moment or its text); without one (first load) all rows.
 
     The mark is a literal, so the comparison reaches the file scan.
     """

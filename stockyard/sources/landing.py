@@ -121,7 +121,13 @@ def append_new(
     batch: DataFrame, path: str, schema: T.StructType, null_safe: bool = True,
     file_column: str | None = None, now: Column | None = None, prune_on: str | None = None,
 ) -> None:
-    """Insert the batch rows the raw table lacks, under one load stamp, partitioned by load day."""
+    """Insert the batch rows the raw table lacks, under one load stamp, partitioned by load day.
+
+    The table is read only where it could hold the batch's rows: between the batch's extremes of
+    `prune_on`, by default the extraction time.
+    """
+    extracted = [c for c in schema.names if c.endswith("_extraction_date")]
+    prune_on = prune_on or (extracted[0] if extracted else None)
     held = read_raw(batch.sparkSession, path, schema).select(*schema.names)
     fresh = new_rows(held, batch, null_safe, file_column, prune_on)
     stamp = load_stamp(now)

@@ -277,6 +277,10 @@ def test_published_versions(spark):
         tables.publish(grown, name, ["k"], 2, spread=False)
     assert rows(tables.read_table(spark, name)) == [(1, "a"), (2, "b"), (3, "b")]
     assert [t.name for t in spark.catalog.listTables("shop", "stock__v*")] == ["stock__v2", "stock__v3"]
+    tables.publish(spark.table(name), name, ["k"], 2, marked="k")
+    assert tables.published_mark(spark, name, "k") == "3"
+    tables.publish(spark.table(name).limit(0), name, ["k"], marked="k")
+    assert tables.published_mark(spark, name, "k") is None
     tables.write_table(spark.range(2), "shop.copy")
     tables.write_table(spark.range(3), "shop.copy")
     assert spark.table("shop.copy").count() == 3
