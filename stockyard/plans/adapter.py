@@ -31,9 +31,9 @@ class Source:
         return RAW[name](self)
 
     def spread(self, name: str, *columns: str) -> DataFrame:
-        """The table over all cores, where its files are too few to occupy them."""
+        """The table over all cores, where its files would leave most of them idle."""
         df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
+        return df.repartition(cores, *columns) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
 def _id(prefix: str, key: Column | str) -> Column:

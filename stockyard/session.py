@@ -44,6 +44,9 @@ def local_session(app: str, cores: int = 8, **conf: str) -> SparkSession:
     return spark
 
 
+_local_root: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared folder named in `spark.checkpoint.dir`.
 
@@ -54,6 +57,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _local_root:
+            _local_root.append(tempfile.mkdtemp(prefix="run-"))
+        root = _local_root[0]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import urlsplit
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +69,11 @@ def read_sheet_export(spark: SparkSession, path: str) -> DataFrame:
     return cells.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in cells.columns])
 
 
+def literal_path(path: str) -> str:
+    """The path with its wildcard characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
@@ -85,7 +93,9 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
     )
-    below = F.element_at(F.split("path", f"/{_last_part(root)}/"), -1)
+    where = urlsplit(root)
+    top = (where.netloc + where.path).rstrip("/") + "/"
+    below = F.substring(F.col("path"), F.instr("path", F.lit(top)) + len(top), F.length("path"))
     name = _file_name(F.col("path"))
     return files.select(
         "path",
@@ -97,10 +107,6 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _last_part(root: str) -> str:
-    return root.rstrip("/").rsplit("/", 1)[-1]
-
-
 def folder_formats(inventory: DataFrame) -> DataFrame:
     """Each folder with the set of file extensions found in it."""
     return (

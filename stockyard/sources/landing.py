@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockyard.operators.incremental import new_rows
-from stockyard.sources.files import file_inventory, lower_names, read_files, skip_landed
+from stockyard.sources.files import (
+    file_inventory,
+    literal_path,
+    lower_names,
+    read_files,
+    skip_landed,
+)
 from stockyard.sources.schemas import stored_schema
 
 LOAD_ZONE = "Africa/Lagos"
@@ -82,11 +88,14 @@ def land_folder(
     pending = skip_landed(found, landed_files(spark, landing, folder), prefix)
     landed = 0
     for group in _groups(pending.select("path").toLocalIterator(), files_per_group):
-        rows = read_files(spark, extension, [row.path for row in group], schema)
+        paths = [literal_path(row.path) for row in group]
+        rows = read_files(spark, extension, paths, schema)
         if rows is None:
             return 0
         moment = F.current_timestamp() if now is None else F.lit(now)
-        base = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+        # File names arrive percent-encoded; a plus sign stands for itself.
+        name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+        base = F.regexp_replace(name, r"\.[^.]*$", "")
         named = rows.withColumn(
             "landed_as", F.concat(base, F.date_format(moment, "'_'yyyyMMdd'T'HHmmss'Z'"))
         )
@@ -163,7 +172,8 @@ def load_folder(
     pending = unprocessed(files, read_if_exists(spark, ledger, LEDGER)).select(*FILE_IDENTITY)
     loaded = 0
     for group in _groups(pending.toLocalIterator(), files_per_group):
-        found = spark.read.option("mergeSchema", True).parquet(*[row.path for row in group])
+        paths = [literal_path(row.path) for row in group]
+        found = spark.read.option("mergeSchema", True).parquet(*paths)
         target = stored_schema(schema or found.schema)
         rows = found.withColumn("source_file", F.col("_metadata.file_path"))
         batch = to_stored(rows, T.StructType([*target.fields]).add("source_file", T.StringType()))

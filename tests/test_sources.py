@@ -73,6 +73,7 @@ def listing(spark, folder):
     write(f"{folder}/raw/products/file2.json", "{}")
     write(f"{folder}/raw/products/deep/file.3.txt", "x")
     write(f"{folder}/raw/top.csv", "a\n")
+    write(f"{folder}/raw/raw/again.csv", "a\n")
     return files.file_inventory(spark, f"{folder}/raw")
 
 
@@ -81,11 +82,11 @@ def test_inventory_and_formats(spark, folder):
     assert rows(found.select("folder", "base", "extension")) == rows(
         spark.createDataFrame(
             [("inventory", "file1", "csv"), ("inventory", "file10", "csv"), ("products", "file2", "json"),
-             ("products", "file.3", "txt"), (None, "top", "csv")],
+             ("products", "file.3", "txt"), (None, "top", "csv"), ("raw", "again", "csv")],
             "f string, b string, e string",
         )
     )
-    assert rows(files.folder_formats(found)) == [("inventory", ["csv"]), ("products", ["json", "txt"])]
+    assert rows(files.folder_formats(found)) == [("inventory", ["csv"]), ("products", ["json", "txt"]), ("raw", ["csv"])]
     assert files.read_files(spark, "txt", [folder]) is None
 
 
@@ -147,11 +148,13 @@ def test_landing_takes_each_file_once(spark, folder):
     assert land(spark, folder) == 0
     for i in (2, 3, 4):
         write(f"{folder}/raw/inventory/file{i}.csv", f"quantity,stock\n{i},{i}\n")
-    assert land(spark, folder, files_per_group=2) == 3
+    write(f"{folder}/raw/inventory/file[5] a+b=c%.csv", "quantity,stock\n5,5\n")
+    assert land(spark, folder, files_per_group=2) == 4
+    assert land(spark, folder) == 0
     landed = spark.read.parquet(f"{folder}/landing/inventory")
-    assert landed.count() == 5
+    assert landed.count() == 6
     assert {r.landed_as for r in landed.select("landed_as").collect()} == {
-        f"file{i}_20230510T010203Z" for i in (1, 2, 3, 4)
+        f"file{i}_20230510T010203Z" for i in (1, 2, 3, 4, "[5] a+b=c%")
     }
 
 
