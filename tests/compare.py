@@ -23,7 +23,7 @@ def sql_connection(folder: str) -> duckdb.DuckDBPyConnection:
 def _value(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return None
-    return float(f"{v:.9g}") if isinstance(v, float) else v
+    return v
 
 
 def rows(columns: list[str], data) -> Counter:
