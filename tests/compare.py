@@ -9,7 +9,10 @@ from collections import Counter
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
 
 
 def sql_connection(folder: str) -> duckdb.DuckDBPyConnection:
@@ -39,7 +42,7 @@ def difference(spark, con, query, sql: str, folder: str) -> str | None:
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} vs {sorted(columns)}"
     kinds = {d[0]: str(d[1]) for d in result.description}
-    names = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "int": "INTEGER"}
+    names = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "int": "INTEGER", "boolean": "BOOLEAN"}
     for name, kind in df.dtypes:
         if names.get(kind, kind) != kinds[name]:
             return f"type of {name}: {kind} vs {kinds[name]}"

@@ -3,7 +3,8 @@
 import pytest
 from compare import difference, sql_connection
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from stockyard.plans.registry import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,12 +15,12 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == SQL.keys()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    assert difference(spark, con, queries()[name], oracle_sql()[name], FOLDER) is None
+    assert difference(spark, con, QUERIES[name], SQL[name], FOLDER) is None
 
 
 def test_entry(spark):
