@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import exact_dedup, sql, url_filter
+from stockyard.llm import exact_dedup, mixing, packing, sharding, sql, url_filter
 from stockyard.llm.common import table
 
+TOKENIZER = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 def register(name: str, statement: str | None = None):
     def add(query: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = query
@@ -23,6 +31,11 @@ def register(name: str, statement: str | None = None):
     return add
 
 
+@register("op3_best_fit_packing")
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), tokenizer_path())
+
+
 @register("op4_exact_dedup", sql.EXACT_DEDUP)
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
@@ -31,3 +44,14 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @register("op7_url_filter", sql.URL_FILTER)
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(table(spark, folder, "pages"))
+
+
+@register("op8_source_mixing")
+def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources drawn towards equal weights until the smallest would be seen four times."""
+    return mixing.mixed(table(spark, folder, "documents"), most_epochs=4.0)
+
+
+@register("op10_sharding")
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharded(table(spark, folder, "documents"))
