@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import exact_dedup, mixing, packing, sharding, sql, url_filter
+from stockyard.llm import exact_dedup, mixing, packing, quality_rules, sharding, sql, url_filter
 from stockyard.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,6 +41,11 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+@register("op6_quality_rules")
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality(table(spark, folder, "documents"))
+
+
 @register("op7_url_filter", sql.URL_FILTER)
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(table(spark, folder, "pages"))
