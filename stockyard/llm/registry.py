@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import exact_dedup, mixing, packing, personal_data, quality_rules, sharding, sql, url_filter
+from stockyard.llm import exact_dedup, group_join, mixing, packing, personal_data, quality_rules, sharding, sql, url_filter
 from stockyard.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,6 +36,11 @@ def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.personal_data(table(spark, folder, "documents"))
 
 
+@register("op2_jaccard_join")
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return group_join.jaccard_components(table(spark, folder, "documents"))
+
+
 @register("op3_best_fit_packing")
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), tokenizer_path())
