@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import exact_dedup, group_join, mixing, packing, personal_data, quality_rules, sharding, sql, url_filter
+from stockyard.llm import exact_dedup, group_join, mixing, packing, personal_data, quality_rules, sharding, sql, substring_dedup, url_filter
 from stockyard.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -51,6 +51,11 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+@register("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, folder, "documents"))
+
+
 @register("op6_quality_rules")
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality(table(spark, folder, "documents"))
