@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import exact_dedup, group_join, mixing, packing, personal_data, quality_rules, sharding, sql, substring_dedup, url_filter
+from stockyard.llm import exact_dedup, group_join, mixing, packing, personal_data, quality_rules, sharding, sql, substring_dedup, toxicity, url_filter
 from stockyard.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -72,6 +72,11 @@ def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents"), most_epochs=4.0)
 
 
+@register("op9_toxicity")
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @register("op10_sharding")
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))

@@ -6,8 +6,11 @@ from typing import NamedTuple
 
 import numpy as np
 
-_WHITE = np.zeros(256, bool)
-_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+WHITE = np.zeros(256, bool)
+WHITE[[0x20, *range(0x09, 0x0E)]] = True
+# Everything but letters, where those outside ASCII count as letters.
+NO_LETTER = np.ones(256, bool)
+NO_LETTER[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(0x80, 0x100)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -54,12 +57,13 @@ def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mixed((sums[end] - sums[start]) * down[start])
 
 
-def words_of(data: np.ndarray, bounds: np.ndarray, lower: bool = False) -> Words:
+def words_of(data: np.ndarray, bounds: np.ndarray, lower: bool = False, apart: np.ndarray = WHITE) -> Words:
     """The words of the texts whose bytes lie in `data` one after the other, from `bounds` on.
 
-    Words are what white space (space, and 0x09 to 0x0D) parts; a text's end parts words too.
+    Words are what the bytes marked in `apart` part: white space (space, and 0x09 to 0x0D) if nothing
+    else is said. A text's end parts words too.
     """
-    inside = ~_WHITE[data]
+    inside = ~apart[data]
     before = np.zeros(len(data) + 1, bool)
     before[1:] = inside
     opened = inside.copy()
