@@ -16,6 +16,16 @@ WHITE = "[\\x20\\x09-\\x0D]+"
 WHITE_CHARS = " \t\n\x0b\x0c\r"
 
 
+# The public tokenizer that the queries use; operators take any file's path.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

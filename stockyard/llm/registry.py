@@ -6,21 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from stockyard.llm import exact_dedup, group_join, mixing, packing, personal_data, quality_rules, sharding, sql, substring_dedup, toxicity, url_filter
-from stockyard.llm.common import table
-
-TOKENIZER = "byte_bpe_50k.json"
+from stockyard.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(TOKENIZER)
-
-
 def register(name: str, statement: str | None = None):
     def add(query: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = query
@@ -80,3 +73,8 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @register("op10_sharding")
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)

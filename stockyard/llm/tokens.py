@@ -2,114 +2,146 @@
 
 from __future__ import annotations
 
+import json
 import os
-import re
 from functools import cache
 
 import numpy as np
 
-# Between two white-space characters, or at a rare one, the tokenizer looks further than one piece.
-_INTRICATE = re.compile(r"\s\s|[^\S \n]")
+
+def _bytes_of_letters() -> dict[str, int]:
+    """The letters that stand for bytes in a byte-level vocabulary: printable ones for themselves."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def _ranks(path: str) -> dict[bytes, int] | None:
+    """The file's vocabulary as ranks of byte strings, if it is plain byte-level BPE numbered in the
+    order of its merges: then either library finds the same ids, and tiktoken sooner."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    model, before = told["model"], told.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not model.get("dropout") and not model.get("byte_fallback")
+    plain &= not model.get("ignore_merges") and told.get("normalizer") is None and before.get("type") == "ByteLevel"
+    if not plain or before.get("add_prefix_space") or not before.get("use_regex", True):
+        return None
+    letters, vocabulary = _bytes_of_letters(), model["vocab"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if any(vocabulary["".join(pair)] != 256 + i for i, pair in enumerate(pairs)):
+        return None
+    ordinary = {text: i for text, i in vocabulary.items() if i < 256 + len(pairs)}
+    return {bytes(letters[c] for c in text): i for text, i in ordinary.items()}
 
 
 class Encoder:
-    """Ids of texts. A space or line feed between two words always begins a new piece of the
-    tokenizer's own pattern, so pieces are encoded apart and remembered, up to `room` of them;
-    any other text is encoded as a whole."""
+    """Ids of texts, special tokens' strings taken as ordinary text.
+
+    A space or a line feed beside two other characters always begins a new piece of the tokenizer's own
+    pattern, so pieces are encoded apart and remembered, up to `room` of them. Texts with other white
+    space are encoded as a whole.
+    """
 
     def __init__(self, path: str, room: int = 300_000):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        ranks = _ranks(path)
+        if ranks:
+            import public_tokenizers
+            import tiktoken
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.line_feed = self.ids("\n")[0]
+            fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.ids = lambda text: fast.encode_to_numpy(text, disallowed_special=())
+        else:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer
+
+            slow = Tokenizer.from_file(path)
+            slow.encode_special_tokens = True
+            self.ids = lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+        found = self.ids("\n")
+        # Without one id of its own for the line feed nothing can be taken apart.
+        self.line_feed = int(found[0]) if len(found) == 1 else None
         self.room = room
-        self.known: dict[str, int] = {}
+        # Pieces that stand for others' white space: texts that hold them are encoded as a whole.
+        self.known: dict[str, int] = {"": 0, "\n": 0}
+        self.odd = np.zeros(1 << 16, bool)
+        self.odd[0] = True
         self.ids_of = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 16, np.int64)
         self.length = np.zeros(1 << 16, np.int64)
-        self.used = 0
+        self.used, self.pieces = 0, 1
 
-    def ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _joined(self, pieces: list[str]) -> list[np.ndarray]:
+    def _apart(self, pieces: list[str]) -> list[np.ndarray]:
         """The ids of each piece. None holds a line feed, so line feeds can part them in one call."""
-        ids = np.array(self.ids("\n".join(pieces)), np.uint32)
-        return np.split(ids, np.flatnonzero(ids == self.line_feed))
-
-    def _learn(self, pieces: list[str], base: int) -> None:
-        spaced = [p for p in pieces if p[:1] not in ("\n", "\0")]
-        bare = [p for p in pieces if p[:1] in ("\n", "\0")]
-        found: dict[str, np.ndarray] = {}
-        for group, texts in ((spaced, [" " + p for p in spaced]), (bare, [p[1:] for p in bare])):
-            if group:
-                found.update(zip(group, self._joined(texts), strict=True))
-            first = found[group[0]] if group else None
-            for piece in group:
-                ids = found[piece]
-                ids = ids if ids is first else ids[1:]
-                if piece[0] == "\n":
-                    ids = np.concatenate([np.array([self.line_feed], np.uint32), ids])
-                found[piece] = ids
-        arrays = [found[p] for p in pieces]
+        if not pieces:
+            return []
+        ids = self.ids("\n".join(pieces))
+        cuts = np.flatnonzero(ids == self.line_feed)
+        starts, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
+        return [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        base = self.pieces
+        bare = [p[1:] if p[0] == "\n" else p for p in pieces]
+        odd = np.array([len(p.split()) != 1 or p.split()[0] != p for p in bare])
+        after = [i for i, p in enumerate(pieces) if p[0] == "\n" and not odd[i]]
+        spaced = [i for i, p in enumerate(pieces) if p[0] != "\n" and not odd[i]]
+        arrays = [self.ids_of[:0]] * len(pieces)
+        feed = np.array([self.line_feed], np.uint32)
+        for i, ids in zip(after, self._apart([bare[i] for i in after]), strict=True):
+            arrays[i] = np.concatenate([feed, ids])
+        for i, ids in zip(spaced, self._apart([" " + bare[i] for i in spaced]), strict=True):
+            arrays[i] = ids
         lengths = np.array([len(a) for a in arrays], np.int64)
         while base + len(pieces) > len(self.start):
             self.start, self.length = np.concatenate([self.start] * 2), np.concatenate([self.length] * 2)
+            self.odd = np.concatenate([self.odd, np.zeros(len(self.odd), bool)])
         total = int(lengths.sum())
         while self.used + total > len(self.ids_of):
             self.ids_of = np.concatenate([self.ids_of] * 2)
         self.start[base : base + len(pieces)] = self.used + np.cumsum(lengths) - lengths
         self.length[base : base + len(pieces)] = lengths
+        self.odd[base : base + len(pieces)] = odd
         self.ids_of[self.used : self.used + total] = np.concatenate(arrays)
-        self.used += total
+        self.used, self.pieces = self.used + total, base + len(pieces)
 
-    def _simple(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of texts that fall into pieces."""
-        split = []
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        if self.line_feed is None:
+            return [self.ids(t) if t else self.ids_of[:0] for t in texts]
+        pieces, counts, heads = [], [], []
         for text in texts:
-            pieces = text.replace("\n", " \n").split(" ")
-            # The first piece has no space before it; the last may be nothing but the space.
-            pieces[0] = "\0" + pieces[0]
-            split.append(pieces)
-        known, base, kept_used = self.known, len(self.known), self.used
-        fresh: dict[str, int] = {}
-        index = np.empty(sum(map(len, split)), np.int64)
-        at = 0
-        for pieces in split:
-            found = [known.get(p, -1) for p in pieces]
-            if -1 in found:
-                for i, number in enumerate(found):
-                    if number < 0:
-                        found[i] = fresh.setdefault(pieces[i], base + len(fresh))
-            index[at : at + len(found)] = found
-            at += len(found)
-        if fresh:
-            self._learn(list(fresh), base)
+            own = text.replace("\n", " \n").split(" ")
+            heads.append(own[0])
+            counts.append(len(own) - 1)
+            pieces += own[1:]
+        get = self.known.get
+        index = np.array([get(p, -1) for p in pieces], np.int64)
+        kept = self.used, self.pieces
+        missing = np.flatnonzero(index < 0).tolist()
+        if missing:
+            fresh: dict[str, int] = {}
+            index[missing] = [fresh.setdefault(pieces[i], kept[1] + len(fresh)) for i in missing]
+            self._learn(list(fresh))
+        bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
         lengths = self.length[index]
-        ends = np.cumsum(lengths)
-        places = np.repeat(self.start[index] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        places = np.repeat(self.start[index] - ends[:-1], lengths) + np.arange(ends[-1])
         ids = self.ids_of[places]
-        of_text = np.add.reduceat(lengths, np.cumsum([0] + [len(p) for p in split[:-1]])) if split else lengths
-        if base + len(fresh) <= self.room:
-            known.update(fresh)
-        else:
-            self.used = kept_used
-        return ids, of_text
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
-        simple = [i for i, t in enumerate(texts) if t and not _INTRICATE.search(t)]
-        out = [np.zeros(0, np.uint32)] * len(texts)
-        if simple:
-            ids, lengths = self._simple([texts[i] for i in simple])
-            for i, own in zip(simple, np.split(ids, np.cumsum(lengths)[:-1]), strict=True):
-                out[i] = own
-        done = set(simple)
+        odd = np.concatenate([[0], np.cumsum(self.odd[index])])
+        whole = (odd[bounds[1:]] > odd[bounds[:-1]]).tolist()
+        whole = [w or (h != "" and h.split() != [h]) for w, h in zip(whole, heads, strict=True)]
+        first = iter(self._apart([h for h, w in zip(heads, whole, strict=True) if h and not w]))
+        out, cuts = [], ends[bounds].tolist()
         for i, text in enumerate(texts):
-            if text and i not in done:
-                out[i] = np.array(self.ids(text), np.uint32)
+            if whole[i]:
+                out.append(self.ids(text))
+            else:
+                rest = ids[cuts[i] : cuts[i + 1]]
+                out.append(np.concatenate([next(first), rest]) if heads[i] else rest)
+        if missing and self.pieces <= self.room:
+            self.known.update(fresh)
+        else:
+            self.used, self.pieces = kept
         return out
 
 
