@@ -106,7 +106,10 @@ def _spans(kind: str, text: Column) -> Column:
         length, valid = F.length(match), _valid(kind, match)
         listed = match.rlike(GAZETTEER[kind]) if kind in GAZETTEER else F.lit(False)
         named = kind in ("email", "secret", "tel")
-        mixed = (F.length(_digits(match)) >= 4) if kind == "secret" else ~match.rlike(r"^[^0-9]*([0-9])(?:[^0-9]|\1)*$")
+        digits = _digits(match)
+        # Secrets have digits among the letters; numbers have more than one digit.
+        various = F.length(F.replace(digits, F.left(digits, F.lit(1)), F.lit(""))) > 0
+        mixed = F.length(digits) >= 4 if kind == "secret" else various
         return F.struct(
             F.length(before).alias("gap"),
             length.alias("length"),

@@ -21,10 +21,10 @@ LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 # The part of a group that its estimate rests on, and how often it is chosen anew.
 CORE, STEPS = 0.75, 3
 # No direction of a group counts as narrower than this, in the units of the vector below.
-LEAST_SPREAD = (0.12, 0.05, 0.12, 0.15)
-# Squared distance beyond which a document is rejected (about five in a million of a normal group), and the
+LEAST_SPREAD = (0.12, 0.05, 0.2, 0.2)
+# Squared distance beyond which a document is rejected (one in 10,000 of a normal group), and the
 # median of the squared distance in a normal group, with four dimensions.
-CUT, MIDDLE = 30.0, 3.3567
+CUT, MIDDLE = 23.51, 3.3567
 GRID = 256
 
 
