@@ -26,7 +26,7 @@ WINDOW, STRIDE = 32, 16
 # The sample: at most so many documents of each label, none with more characters.
 MOST_TOXIC, MOST_CLEAN, MOST_CHARACTERS = 2500, 4000, 20_000
 VOCABULARY, TRIGRAMS, EMBEDDED, HIDDEN = 30_000, 1 << 12, 8, 8
-EPOCHS, BATCH, RATE = 6, 256, 0.01
+EPOCHS, LEAST_STEPS, BATCH, RATE = 6, 400, 128, 0.01
 TEXT_PER_STEP = 1 << 21
 
 
@@ -108,81 +108,93 @@ class Network:
         lengths = np.diff(np.append(text.trigram_start, len(text.trigrams)))
         return np.concatenate([self.w["word"][self.rows(text.hashes)], sums / lengths[:, None].astype(np.float32)], axis=1)
 
-    def _layer(self, drive: np.ndarray, own: np.ndarray, there: np.ndarray, order, keep: bool):
-        """States of one direction; `drive` are the gates' inputs, as (steps, windows, gates)."""
-        h = HIDDEN
-        state = np.zeros((drive.shape[1], h), np.float32)
-        states = np.empty((WINDOW, drive.shape[1], h), np.float32)
-        kept = {}
+    # States, gates and gradients have one row per feature and one column per window.
+
+    def _layer(self, drive: np.ndarray, words: np.ndarray, own: np.ndarray, there, order, keep: bool):
+        """States of one direction; `drive` has the gates' inputs of each word."""
+        h, n = HIDDEN, words.shape[1]
+        state, states, kept = np.zeros((h, n), np.float32), np.empty((WINDOW, h, n), np.float32), {}
         for t in order:
-            pull = state @ own
-            gates = _sigmoid(drive[t, :, : 2 * h] + pull[:, : 2 * h])
-            z, r = gates[:, :h], gates[:, h:]
-            new = np.tanh(drive[t, :, 2 * h :] + r * pull[:, 2 * h :])
+            pull = own.T @ state
+            gates = drive.take(words[t], axis=1)
+            both = gates[: 2 * h]
+            both += pull[: 2 * h]
+            both *= 0.5
+            np.tanh(both, out=both)
+            both *= 0.5
+            both += 0.5
+            z, r = both[:h], both[h:]
+            new = np.tanh(gates[2 * h :] + r * pull[2 * h :])
             if keep:
-                kept[t] = (state, z, r, new, pull[:, 2 * h :])
-            step = (1 - z) * (new - state)
-            state = state + (step if there is None else step * there[t])
+                kept[t] = (state, z, r, new, pull[2 * h :])
+            step = new - state
+            step *= 1 - z
+            if there is not None:
+                step *= there[t]
+            state = state + step
             states[t] = state
         return states, kept
 
-    def forward(self, vectors: np.ndarray, words: np.ndarray, there: np.ndarray, keep: bool = False):
-        """Logits of windows; `words` are rows of `vectors` and `there` says which exist, as (steps, windows)."""
-        here = there[:, :, None].astype(np.float32)
+    def drives(self, vectors: np.ndarray) -> dict[str, np.ndarray]:
+        """What each word puts into the gates of both directions."""
+        return {s: np.ascontiguousarray((vectors @ self.w[f"in_{s}"] + self.w[f"bias_{s}"]).T) for s in "fb"}
+
+    def forward(self, drives: dict[str, np.ndarray], words: np.ndarray, there: np.ndarray, keep: bool = False):
+        """Logits of windows; `words` are columns of `drives` and `there` says which exist, as (steps, windows)."""
+        here = there.astype(np.float32)
         mask = None if there.all() else here
         states, kept = [], {}
         for side, order in (("f", range(WINDOW)), ("b", range(WINDOW - 1, -1, -1))):
-            drive = (vectors @ self.w[f"in_{side}"] + self.w[f"bias_{side}"])[words]
-            found, kept[side] = self._layer(drive, self.w[f"own_{side}"], mask, order, keep)
+            found, kept[side] = self._layer(drives[side], words, self.w[f"own_{side}"], mask, order, keep)
             states.append(found)
-        both = np.concatenate(states, axis=2)
-        bent = np.tanh(both @ self.w["attend"])
-        heed = bent @ self.w["focus"]
-        heed = np.exp(heed - heed.max(axis=0)) * there
+        both = np.concatenate(states, axis=1)
+        bent = np.tanh(self.w["attend"].T @ both)
+        heed = self.w["focus"] @ bent
+        heed = np.exp(heed - heed.max(axis=0)) * here
         heed /= heed.sum(axis=0)
-        pooled = (both * heed[:, :, None]).sum(axis=0)
-        logit = pooled @ self.w["out"] + self.w["level"][0]
+        pooled = np.einsum("tin,tn->in", both, heed)
+        logit = self.w["out"] @ pooled + self.w["level"][0]
         return (logit, (both, bent, heed, pooled, kept, here)) if keep else (logit, None)
 
     def gradients(self, vectors, words, there, target) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Of the mean cross entropy: by the weights after the embedding, and by `vectors`."""
-        logit, (both, bent, heed, pooled, kept, here) = self.forward(vectors, words, there, keep=True)
-        h, slope = HIDDEN, (_sigmoid(logit) - target) / len(target)
-        g = {"out": pooled.T @ slope, "level": np.array([slope.sum()], np.float32)}
-        d_pooled = slope[:, None] * self.w["out"]
-        d_both = heed[:, :, None] * d_pooled
-        d_heed = (both * d_pooled).sum(axis=2)
+        logit, (both, bent, heed, pooled, kept, here) = self.forward(self.drives(vectors), words, there, keep=True)
+        h, slope = HIDDEN, ((_sigmoid(logit) - target) / len(target)).astype(np.float32)
+        g = {"out": pooled @ slope, "level": np.array([slope.sum()], np.float32)}
+        d_pooled = self.w["out"][:, None] * slope
+        d_heed = np.einsum("tin,in->tn", both, d_pooled)
         d_score = heed * (d_heed - (heed * d_heed).sum(axis=0))
-        g["focus"] = np.einsum("tnh,tn->h", bent, d_score)
-        d_bent = d_score[:, :, None] * self.w["focus"] * (1 - bent * bent)
-        g["attend"] = np.einsum("tni,tnj->ij", both, d_bent)
-        d_both += d_bent @ self.w["attend"].T
+        g["focus"] = np.einsum("thn,tn->h", bent, d_score)
+        d_bent = d_score[:, None, :] * self.w["focus"][:, None] * (1 - bent * bent)
+        g["attend"] = np.einsum("tin,tjn->ij", both, d_bent)
+        d_both = heed[:, None, :] * d_pooled + self.w["attend"] @ d_bent
         d_vectors = np.zeros_like(vectors)
+        order_of = np.argsort(words.ravel(), kind="stable")
+        opens = np.searchsorted(words.ravel()[order_of], np.arange(len(vectors)))
         for k, (side, order) in enumerate((("f", range(WINDOW - 1, -1, -1)), ("b", range(WINDOW)))):
             own, carried = self.w[f"own_{side}"], 0.0
-            d_own, d_drive = np.zeros_like(own), np.zeros((WINDOW, len(target), 3 * h), np.float32)
+            d_own, d_drive = np.zeros_like(own), np.zeros((WINDOW, 3 * h, len(target)), np.float32)
             for t in order:
                 state, z, r, new, pull = kept[side][t]
-                total = d_both[t, :, k * h : (k + 1) * h] + carried
+                total = d_both[t, k * h : (k + 1) * h] + carried
                 moved = total * here[t]
                 d_new = moved * (1 - z) * (1 - new * new)
                 d_z = moved * (state - new) * z * (1 - z)
                 d_r = d_new * pull * r * (1 - r)
-                d_pull = np.concatenate([d_z, d_r, d_new * r], axis=1)
-                d_drive[t] = np.concatenate([d_z, d_r, d_new], axis=1)
-                d_own += state.T @ d_pull
-                carried = total * (1 - here[t]) + moved * z + d_pull @ own.T
-            flat = d_drive.reshape(-1, 3 * h)
+                d_pull = np.concatenate([d_z, d_r, d_new * r])
+                d_drive[t] = np.concatenate([d_z, d_r, d_new])
+                d_own += state @ d_pull.T
+                carried = total - moved + moved * z + own @ d_pull
+            flat = d_drive.transpose(0, 2, 1).reshape(-1, 3 * h)
             g[f"own_{side}"], g[f"bias_{side}"] = d_own, flat.sum(axis=0)
-            summed = np.zeros((len(vectors), 3 * h), np.float32)
-            np.add.at(summed, words.ravel(), flat)
+            summed = np.add.reduceat(flat[order_of], opens)
             g[f"in_{side}"] = vectors.T @ summed
             d_vectors += summed @ self.w[f"in_{side}"].T
         return g, d_vectors
 
     def logits(self, text: Read, most: int = 1 << 13) -> tuple[np.ndarray, np.ndarray]:
         """The logit of every window, and its text."""
-        vectors = self.inputs(text)
+        drives = self.drives(self.inputs(text))
         start, length, of = windows_of(text.first)
         out = np.empty(len(start), np.float32)
         steps = np.arange(WINDOW)[:, None]
@@ -190,7 +202,7 @@ class Network:
             part = slice(low, low + most)
             there = steps < length[part]
             at = np.where(there, start[part] + steps, 0)
-            out[part] = self.forward(vectors, text.word[at], there)[0]
+            out[part] = self.forward(drives, text.word[at], there)[0]
         return out, of
 
     def scores(self, text: Read) -> np.ndarray:
@@ -228,12 +240,14 @@ def train(data: np.ndarray, bounds: np.ndarray, toxic: np.ndarray) -> Network:
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.w.items()}
     turn = 0
     lengths = np.diff(np.append(text.trigram_start, len(text.trigrams)))
-    for epoch in range(EPOCHS):
+    epoch, looked = 0, 0
+    # A small sample is gone through more often.
+    while epoch < EPOCHS or turn < LEAST_STEPS:
         if epoch < 2:
             there = steps < length
             suspect = np.where(there, own[text.word[np.where(there, start + steps, 0)]], -1).max(axis=0)
-        else:
-            suspect = net.logits(text)[0]
+        elif turn >= looked:
+            suspect, looked = net.logits(text)[0], turn + LEAST_STEPS // 6
         best = np.lexsort((rng.random(len(of)), -suspect, of))
         rank = np.empty(len(of), np.int64)
         rank[best] = np.arange(len(of)) - np.searchsorted(of, of)[best]
@@ -265,6 +279,7 @@ def train(data: np.ndarray, bounds: np.ndarray, toxic: np.ndarray) -> Network:
                 square += 0.001 * (slope * slope - square)
                 step = mean_ / (1 - 0.9**turn) / (np.sqrt(square / (1 - 0.999**turn)) + 1e-8)
                 net.w[name] -= (RATE * step).astype(np.float32)
+        epoch += 1
     _calibrate(net, text, toxic)
     return net
 
