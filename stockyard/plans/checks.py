@@ -1,206 +1,43 @@
-"""The checks declared for each layer, as text: `column: check check ...` per table."""
+"""The checks declared for each layer."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from stockyard.functions import rules
 from stockyard.operators.quality import Check
 
-# Fixed values. n = not_null, u = unique, w = no_whitespace, p = positive_value, d = is_date_type,
-# a = accepted_values, r:table.column = relationships to a raw table.
-STAGING = """
-stg_warehouses
-  warehouse_id: n u w
-  city: n w
-  state: n w
-  s3_extraction_date: n
-  origin: n w
-  ingestion_date: n
-stg_suppliers
-  supplier_id: n u w
-  supplier_name: n w
-  category: n w
-  country: n w
-  s3_extraction_date: n
-  origin: n w
-  ingestion_date: n
-stg_products
-  product_id: n u w
-  product_name: n w
-  category: n w
-  brand: n w
-  supplier_id: n w r:suppliers.supplier_id
-  unit_price: n p
-  s3_extraction_date: n
-  origin: n w
-  ingestion_date: n
-stg_stores
-  store_id: n u w
-  store_name: n w
-  city: n w
-  state: n w
-  region: n w
-  store_open_date: n
-  sheets_extraction_date: n
-  origin: n w
-  ingestion_date: n
-stg_shipments
-  shipment_id: n u w
-  warehouse_id: n w r:warehouses.warehouse_id
-  store_id: n w r:stores.store_id
-  product_id: n w r:products.product_id
-  quantity_shipped: n p
-  shipment_date: n d
-  expected_delivery_date: n d
-  actual_delivery_date: n d
-  carrier: n w
-  s3_extraction_date: n
-  origin: n w
-  ingestion_date: n
-stg_inventory
-  warehouse_id: n w r:warehouses.warehouse_id
-  product_id: n w r:products.product_id
-  quantity_available: n p
-  reorder_threshold: n
-  snapshot_date: n d
-  s3_extraction_date: n
-  origin: n w
-  ingestion_date: n
-stg_transactions
-  transaction_id: n u w
-  store_id: n w r:stores.store_id
-  product_id: n w r:products.product_id
-  quantity_sold: n
-  unit_price: n p
-  discount_pct: n p
-  net_revenue: n p
-  transaction_timestamp_utc: n
-  rds_extraction_date: n
-  origin: n w
-  ingestion_date: n
-"""
 
-INTERMEDIATE = """
-int_warehouse_to_store_efficiency
-  warehouse_id: n w
-  store_id: n w
-  store_city: n w
-  store_state: n w
-  warehouse_city: n w
-  warehouse_state: n w
-  shipping_distance: n w a
-  route_performance_status: n w a
-int_transactions_enriched
-  transaction_id: n w
-  store_id: n w
-  product_id: n w
-  product_name: n w
-  category: n w
-  brand: n w
-  supplier_id: n w
-  quantity_sold: n p
-  selling_unit_price: n p
-  supplier_unit_price: n p
-  discount_pct: n p
-  net_revenue: n p
-  gross_revenue: n p
-  total_expenses: n p
-  discount_amount: n p
-  net_profit_loss: n
-  profit_margin_pct: n
-  financial_status: n w
-int_inventory_health
-  warehouse_id: n w
-  product_id: n w
-  product_name: n w
-  quantity_available: n p
-  reorder_threshold: n p
-  stock_to_threshold_ratio: n p
-  stock_status: n w a
-int_shipments_performance
-  shipment_id: n w
-  warehouse_id: n w
-  quantity_shipped: n p
-  carrier: n w
-  product_name: n w
-  category: n w
-  store_name: n w
-  region: n w
-  city: n w
-  delivery_delay_days: n
-  delivery_status: n w a
-int_supplier_products
-  supplier_id: n w
-  supplier_name: n w
-  supplier_category: n w
-  country: n w
-  product_id: n w
-  product_name: n w
-  brand: n w
-  product_category: n w
-  unit_price: n w
-"""
+@dataclass(frozen=True)
+class Declared:
+    """The checks of one table. No column may be NULL; `text` columns may not have white space around
+    them either. `unique`, `positive`, `dates` and `accepted` name the columns that have those checks
+    (unique, positive_value, is_date_type, accepted_values) as well; `parents` the raw table whose column
+    of the same name must hold a column's values (relationships)."""
 
-MARTS = """
-dim_warehouses
-  warehouse_id: n u w
-  city: n w
-  state: n w
-dim_stores
-  store_id: n u w
-  store_name: n w
-  city: n w
-  state: n w
-  region: n w
-dim_products
-  product_id: n u w
-  product_name: n w
-  brand: n w
-  category: n w
-  supplier_id: n w
-  unit_price: n p
-dim_suppliers
-  supplier_id: n u w
-  supplier_name: n w
-  category: n w
-  country: n w
-fct_transactions
-  product_id: n w
-  product_name: n w
-  total_quantity_sold: n p
-  total_gross_revenue: n p
-  total_net_revenue: n p
-  total_net_profit_loss: n
-  num_transactions: n p
-fct_warehouse_efficiency
-  warehouse_id: n u w
-  warehouse_city: n w
-  total_shipments_processed: n p
-  avg_transit_days: n p
-  warehouse_error_rate_pct: n p
-  efficiency_rating: n w a
-fct_regional_sales
-  region: n w
-  total_quantity_sold: n p
-  total_revenue: n p
-fct_inventory
-  warehouse_id: n w
-  product_id: n w
-  product_name: n w
-  quantity_available: n p
-  reorder_threshold: n p
-  stock_status: n w
-  stock_to_threshold_ratio: n p w
-"""
+    table: str
+    text: tuple[str, ...]
+    other: tuple[str, ...] = ()
+    unique: tuple[str, ...] = ()
+    positive: tuple[str, ...] = ()
+    dates: tuple[str, ...] = ()
+    accepted: tuple[str, ...] = ()
+    parents: dict[str, str] = field(default_factory=dict)
+
+    def checks(self) -> list[Check]:
+        kinds = {
+            "not_null": self.text + self.other,
+            "no_whitespace": self.text,
+            "unique": self.unique,
+            "positive_value": self.positive,
+            "is_date_type": self.dates,
+        }
+        found = [Check(self.table, column, kind) for kind, columns in kinds.items() for column in columns]
+        found += [Check(self.table, c, "accepted_values", values=ACCEPTED[c]) for c in self.accepted]
+        return found + [Check(self.table, c, "relationships", parent=(p, c)) for c, p in self.parents.items()]
 
-KINDS = {
-    "n": "not_null",
-    "u": "unique",
-    "w": "no_whitespace",
-    "p": "positive_value",
-    "d": "is_date_type",
-    "a": "accepted_values",
-}
 
+# What a column may hold.
 ACCEPTED = {
     "shipping_distance": rules.DISTANCES,
     "route_performance_status": rules.ROUTE_STATUSES,
@@ -209,29 +46,176 @@ ACCEPTED = {
     "efficiency_rating": rules.EFFICIENCY_RATINGS,
 }
 
+# Which columns have which checks.
+STAGING = (
+    Declared(
+        "stg_warehouses",
+        text=("warehouse_id", "city", "state", "origin"),
+        other=("s3_extraction_date", "ingestion_date"),
+        unique=("warehouse_id",),
+    ),
+    Declared(
+        "stg_suppliers",
+        text=("supplier_id", "supplier_name", "category", "country", "origin"),
+        other=("s3_extraction_date", "ingestion_date"),
+        unique=("supplier_id",),
+    ),
+    Declared(
+        "stg_products",
+        text=("product_id", "product_name", "category", "brand", "supplier_id", "origin"),
+        other=("unit_price", "s3_extraction_date", "ingestion_date"),
+        unique=("product_id",),
+        positive=("unit_price",),
+        parents={"supplier_id": "suppliers"},
+    ),
+    Declared(
+        "stg_stores",
+        text=("store_id", "store_name", "city", "state", "region", "origin"),
+        other=("store_open_date", "sheets_extraction_date", "ingestion_date"),
+        unique=("store_id",),
+    ),
+    Declared(
+        "stg_shipments",
+        text=("shipment_id", "warehouse_id", "store_id", "product_id", "carrier", "origin"),
+        other=(
+            "quantity_shipped", "shipment_date", "expected_delivery_date", "actual_delivery_date",
+            "s3_extraction_date", "ingestion_date",
+        ),
+        unique=("shipment_id",),
+        positive=("quantity_shipped",),
+        dates=("shipment_date", "expected_delivery_date", "actual_delivery_date"),
+        parents={"warehouse_id": "warehouses", "store_id": "stores", "product_id": "products"},
+    ),
+    Declared(
+        "stg_inventory",
+        text=("warehouse_id", "product_id", "origin"),
+        other=(
+            "quantity_available", "reorder_threshold", "snapshot_date", "s3_extraction_date",
+            "ingestion_date",
+        ),
+        positive=("quantity_available",),
+        dates=("snapshot_date",),
+        parents={"warehouse_id": "warehouses", "product_id": "products"},
+    ),
+    Declared(
+        "stg_transactions",
+        text=("transaction_id", "store_id", "product_id", "origin"),
+        other=(
+            "quantity_sold", "unit_price", "discount_pct", "net_revenue", "transaction_timestamp_utc",
+            "rds_extraction_date", "ingestion_date",
+        ),
+        unique=("transaction_id",),
+        positive=("unit_price", "discount_pct", "net_revenue"),
+        parents={"store_id": "stores", "product_id": "products"},
+    ),
+)
 
-def declared(text: str) -> list[Check]:
-    """The listing as Check objects, in its order."""
-    checks, table = [], ""
-    for line in text.strip().splitlines():
-        if not line.startswith(" "):
-            table = line
-            continue
-        column, marks = line.strip().split(":", 1)
-        for mark in marks.split():
-            if mark.startswith("r:"):
-                parent, parent_column = mark[2:].split(".")
-                checks.append(
-                    Check(table, column, "relationships", parent=(parent, parent_column))
-                )
-            else:
-                values = ACCEPTED[column] if mark == "a" else ()
-                checks.append(Check(table, column, KINDS[mark], values=values))
-    return checks
+INTERMEDIATE = (
+    Declared(
+        "int_warehouse_to_store_efficiency",
+        text=(
+            "warehouse_id", "store_id", "store_city", "store_state", "warehouse_city", "warehouse_state",
+            "shipping_distance", "route_performance_status",
+        ),
+        accepted=("shipping_distance", "route_performance_status"),
+    ),
+    Declared(
+        "int_transactions_enriched",
+        text=(
+            "transaction_id", "store_id", "product_id", "product_name", "category", "brand",
+            "supplier_id", "financial_status",
+        ),
+        other=(
+            "quantity_sold", "selling_unit_price", "supplier_unit_price", "discount_pct", "net_revenue",
+            "gross_revenue", "total_expenses", "discount_amount", "net_profit_loss", "profit_margin_pct",
+        ),
+        positive=(
+            "quantity_sold", "selling_unit_price", "supplier_unit_price", "discount_pct", "net_revenue",
+            "gross_revenue", "total_expenses", "discount_amount",
+        ),
+    ),
+    Declared(
+        "int_inventory_health",
+        text=("warehouse_id", "product_id", "product_name", "stock_status"),
+        other=("quantity_available", "reorder_threshold", "stock_to_threshold_ratio"),
+        positive=("quantity_available", "reorder_threshold", "stock_to_threshold_ratio"),
+        accepted=("stock_status",),
+    ),
+    Declared(
+        "int_shipments_performance",
+        text=(
+            "shipment_id", "warehouse_id", "carrier", "product_name", "category", "store_name", "region",
+            "city", "delivery_status",
+        ),
+        other=("quantity_shipped", "delivery_delay_days"),
+        positive=("quantity_shipped",),
+        accepted=("delivery_status",),
+    ),
+    Declared(
+        "int_supplier_products",
+        text=(
+            "supplier_id", "supplier_name", "supplier_category", "country", "product_id", "product_name",
+            "brand", "product_category", "unit_price",
+        ),
+    ),
+)
 
+MARTS = (
+    Declared(
+        "dim_warehouses",
+        text=("warehouse_id", "city", "state"),
+        unique=("warehouse_id",),
+    ),
+    Declared(
+        "dim_stores",
+        text=("store_id", "store_name", "city", "state", "region"),
+        unique=("store_id",),
+    ),
+    Declared(
+        "dim_products",
+        text=("product_id", "product_name", "brand", "category", "supplier_id"),
+        other=("unit_price",),
+        unique=("product_id",),
+        positive=("unit_price",),
+    ),
+    Declared(
+        "dim_suppliers",
+        text=("supplier_id", "supplier_name", "category", "country"),
+        unique=("supplier_id",),
+    ),
+    Declared(
+        "fct_transactions",
+        text=("product_id", "product_name"),
+        other=(
+            "total_quantity_sold", "total_gross_revenue", "total_net_revenue", "total_net_profit_loss",
+            "num_transactions",
+        ),
+        positive=("total_quantity_sold", "total_gross_revenue", "total_net_revenue", "num_transactions"),
+    ),
+    Declared(
+        "fct_warehouse_efficiency",
+        text=("warehouse_id", "warehouse_city", "efficiency_rating"),
+        other=("total_shipments_processed", "avg_transit_days", "warehouse_error_rate_pct"),
+        unique=("warehouse_id",),
+        positive=("total_shipments_processed", "avg_transit_days", "warehouse_error_rate_pct"),
+        accepted=("efficiency_rating",),
+    ),
+    Declared(
+        "fct_regional_sales",
+        text=("region",),
+        other=("total_quantity_sold", "total_revenue"),
+        positive=("total_quantity_sold", "total_revenue"),
+    ),
+    Declared(
+        "fct_inventory",
+        text=("warehouse_id", "product_id", "product_name", "stock_status", "stock_to_threshold_ratio"),
+        other=("quantity_available", "reorder_threshold"),
+        positive=("quantity_available", "reorder_threshold", "stock_to_threshold_ratio"),
+    ),
+)
 
 LAYERS = {
-    "staging": declared(STAGING),
-    "intermediate": declared(INTERMEDIATE),
-    "marts": declared(MARTS),
+    "staging": [check for table in STAGING for check in table.checks()],
+    "intermediate": [check for table in INTERMEDIATE for check in table.checks()],
+    "marts": [check for table in MARTS for check in table.checks()],
 }
