@@ -57,19 +57,39 @@ def _any_null(df: DataFrame, columns: list[str]) -> Column | None:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in nullable])
 
 
+def without_key(df: DataFrame, keys: list[str], unknown: dict[str, str] | None = None) -> Column | None:
+    """Condition 'this row has no key': a key column is NULL, or holds what stands for an unknown id."""
+    keyless = _any_null(df, keys)
+    for column, value in (unknown or {}).items():
+        found = F.col(column) == F.lit(value)
+        keyless = found if keyless is None else keyless | found
+    return keyless
+
+
+def reduced(
+    df: DataFrame, keys: list[str], order: list[str], keyless: Column | None = None, on_duplicate: str = "latest"
+) -> DataFrame:
+    """One row per key, and every different row that has no key."""
+    if keyless is None:
+        return latest_by_key(df, keys, order, on_duplicate)
+    newest = latest_by_key(df.filter(~keyless), keys, order, on_duplicate)
+    return newest.unionByName(df.filter(keyless).distinct())
+
+
 def upsert(
     target: DataFrame,
     batch: DataFrame,
     keys: list[str],
     order: list[str],
     on_duplicate: str = "latest",
+    keyless: Column | None = None,
 ) -> DataFrame:
     """The target after merging the batch: a matching key replaces the row, a new key adds one.
 
-    A key holding NULL equals no other key, so such batch rows are all added. The batch keys are
-    broadcast if measured to be small, which leaves the target unshuffled.
+    A row without a key (by default one with a NULL in it) equals no other key, so such batch rows are all
+    added. The batch keys are broadcast if measured to be small, which leaves the target unshuffled.
     """
-    keyless = _any_null(batch, keys)
+    keyless = _any_null(batch, keys) if keyless is None else keyless
     keyed = batch if keyless is None else batch.filter(~keyless)
     newest = latest_by_key(keyed, keys, order, on_duplicate)
     kept = target.join(sized(newest.select(*keys)), keys, "left_anti").select(*target.columns)

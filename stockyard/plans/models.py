@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from stockyard.functions.cleaning import MISSING_TEXT
 from stockyard.operators import enrich, marts, staging
 from stockyard.operators.joins import sized
 
@@ -27,6 +28,11 @@ class Model:
     keys: tuple[str, ...] = ()
     lookups: tuple[str, ...] = ()
 
+    @property
+    def unknown(self) -> dict[str, str]:
+        """The event ids among the keys, with what stands for an unknown one: such a row has no key."""
+        return {k: MISSING_TEXT for k in self.keys if k in ("transaction_id", "shipment_id")}
+
 
 def _staging(name: str, kept: str = "view", keys: tuple[str, ...] = ()) -> Model:
     build = getattr(staging, f"stg_{name}")
