@@ -9,14 +9,14 @@ therefore have equal tokens in some slots: at least one that is not empty, or bo
 empty slots that those are tokens too. Sets of different sizes share slots by size classes.
 
 *Groups.* Documents that meet in a token are compared with the smallest of them (first within a task,
-so that a token's row count never exceeds the number of tasks). Those found to be linked to it form its
-group, in portions of at most `PORTION`: similar documents, with little more in their union than in any
-one of them.
+so that a token's row count never exceeds the number of tasks). That finds most links. Documents that
+met the same leader most often are a group, in portions of at most `PORTION`.
 
 *Matrix.* Where a token still holds documents of several components, its rows (token, group) are the
-matrix in which the documents outside the largest component look up groups. A query is tested against
-a group's union of shingles; only where that overlap suffices are its members compared one by one.
-Documents already known to be connected are never compared again.
+matrix in which documents look up the groups that hold larger components. A group is stored as the
+union of its members' shingles with their owners. Only where the overlap of a query with the union
+suffices is the group opened, and its members' overlaps counted. Documents already known to be connected
+are not compared again.
 """
 
 from __future__ import annotations
@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockyard.llm.common import portions, stored, text_bytes
-from stockyard.llm.components import components
+from stockyard.llm.components import components, merged
 from stockyard.llm.words import mixed, sequences, words_of
 
 SHINGLE, PERCENT = 4, 85
-PORTION = 64
+# Members of a group, and queries that are brought to one copy of it.
+PORTION, QUERIES = 256, 256
 TEXT_PER_STEP = 1 << 22
 
 
@@ -51,10 +52,6 @@ def sets_of(data: np.ndarray, bounds: np.ndarray, shingle: int) -> Iterator[np.n
             yield every[:0]
 
 
-def linked(common: int, a: int, b: int, percent: int) -> bool:
-    return 100 * common >= percent * (a + b - common)
-
-
 def least_common(a: int, b: int, percent: int) -> int:
     """The smallest intersection with which sets of these sizes are linked."""
     return -(-percent * (a + b) // (100 + percent))
@@ -172,56 +169,75 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["token", "id", "leader"])
 
 
+class Group:
+    """Some documents' sets as a matrix: for each token of their union, the members that have it."""
+
+    def __init__(self, ids: list[int], labels: list[int], sets: list[np.ndarray]):
+        self.ids, self.labels = np.array(ids), np.array(labels)
+        self.sizes = np.array([len(s) for s in sets])
+        tokens = np.concatenate(sets)
+        order = np.argsort(tokens, kind="stable")
+        self.owner = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        tokens = tokens[order]
+        self.start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        self.union = tokens[self.start]
+        self.count = np.diff(np.append(self.start, len(tokens)))
+
+    def linked(self, label: int, own: np.ndarray, percent: int) -> np.ndarray:
+        """The members linked with a set, apart from those of its own label."""
+        place = np.minimum(np.searchsorted(self.union, own), len(self.union) - 1)
+        place = place[self.union[place] == own]
+        # Whatever the member, it has no more in common with the set than the union has.
+        smallest = max(int(self.sizes.min()), -(-percent * len(own) // 100))
+        if len(place) < least_common(len(own), smallest, percent):
+            return self.ids[:0]
+        counts = self.count[place]
+        ends = np.cumsum(counts)
+        at = np.repeat(self.start[place] - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)
+        common = np.bincount(self.owner[at], minlength=len(self.ids))
+        near = 100 * common >= percent * (len(own) + self.sizes - common)
+        return self.ids[near & (self.labels != label)]
+
+
 def _opened(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Of rows ordered by group, members before queries: the links (query, member)."""
-    group, members, union = None, [], None
+    group, members, matrix = None, [], None
     for batch in batches:
         data, bounds = text_bytes(batch["text"])
-        groups, chunks = batch["gid"].to_pylist(), batch["part"].to_pylist()
+        groups, parts, labels = (batch[c].to_pylist() for c in ("gid", "part", "label"))
         queries, ids = batch["query"].to_pylist(), batch["id"].to_pylist()
         a, b = [], []
         for first, last in portions(bounds, TEXT_PER_STEP):
             low, high = bounds[first], bounds[last]
             for i, own in enumerate(sets_of(data[low:high], bounds[first : last + 1] - low, shingle), first):
-                if (groups[i], chunks[i]) != group:
-                    group, members, union = (groups[i], chunks[i]), [], None
+                if (groups[i], parts[i]) != group:
+                    group, members, matrix = (groups[i], parts[i]), [], None
                 if not queries[i]:
-                    members.append((ids[i], own))
-                    continue
-                if not members:
-                    continue
-                if union is None:
-                    union = np.unique(np.concatenate([m for _, m in members]))
-                    smallest = min(len(m) for _, m in members)
-                # Whatever the member, it has no more in common with the query than the union has.
-                bound = len(np.intersect1d(own, union, assume_unique=True))
-                if bound < least_common(len(own), max(smallest, -(-percent * len(own) // 100)), percent):
-                    continue
-                for other, theirs in members:
-                    if other == ids[i]:
-                        continue
-                    common = bound if len(members) == 1 else len(np.intersect1d(own, theirs, assume_unique=True))
-                    if linked(common, len(own), len(theirs), percent):
-                        a.append(ids[i])
-                        b.append(other)
+                    members.append((ids[i], labels[i], own))
+                elif members:
+                    matrix = matrix or Group(*map(list, zip(*members, strict=True)))
+                    near = matrix.linked(labels[i], own, percent).tolist()
+                    a += [ids[i]] * len(near)
+                    b += near
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def _open(queries: DataFrame, members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The links between `queries` (id, gid, part) and the `members` (id, gid, part) of their groups."""
+    """The links between `queries` and the `members` of their groups, both (id, label, gid, part)."""
     asked = queries.withColumn("query", F.lit(True)).unionByName(members.withColumn("query", F.lit(False)))
-    rows = asked.join(texts, "id").select("gid", "part", "query", "id", "text")
-    sorted_ = rows.repartition("gid", "part").sortWithinPartitions("gid", "part", "query", "id")
-    return sorted_.mapInArrow(lambda batches: _opened(batches, shingle, percent), "a long, b long")
+    rows = asked.join(texts, "id").select("gid", "part", "query", "id", "label", "text")
+    ordered = rows.repartition("gid", "part").sortWithinPartitions("gid", "part", "query", "id")
+    return ordered.mapInArrow(lambda batches: _opened(batches, shingle, percent), "a long, b long")
 
 
-def _spread(queries: DataFrame, members: DataFrame, per_part: int = 256) -> tuple[DataFrame, DataFrame]:
+def _spread(queries: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both with `part`: the queries of a group in portions, and its members once for each portion."""
-    sizes = queries.groupBy("gid").agg(F.ceil(F.count("*") / per_part).cast("int").alias("parts"))
+    sizes = queries.groupBy("gid").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
     sizes = stored(sizes, "portions")
-    asked = queries.join(sizes, "gid").select("id", "gid", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
-    held = members.join(sizes, "gid").select("id", "gid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    return asked, held
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
+    asked = queries.join(sizes, "gid").select("id", "label", "gid", part)
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    return asked, members.join(sizes, "gid").select("id", "label", "gid", every)
 
 
 def jaccard_components(
@@ -254,61 +270,49 @@ def jaccard_components(
     spread = rows.repartition("token", F.when(leads, F.lit(0)).otherwise(F.pmod(F.xxhash64("id"), F.lit(1000)) + 1))
     ordered = spread.sortWithinPartitions("token", "id")
     met = stored(ordered.mapInArrow(_meetings, schema), "meetings")
-    pairs = stored(met.select("id", "leader").distinct(), "pairs")
+    pairs = stored(met.groupBy("id", "leader").agg(F.count("*").alias("n")), "pairs")
 
     wanted = pairs.select("id").union(pairs.select("leader")).distinct()
     texts = stored(present.join(wanted, "id", "left_semi"), "texts")
-    starred = pairs.select("id", F.col("leader").alias("gid"))
-    asked, held = _spread(starred, pairs.select(F.col("leader").alias("id"), F.col("leader").alias("gid")).distinct())
-    first = stored(_open(asked, held, texts, shingle, percent), "links")
-    equal = stored(equal, "equal")
-    found = components(first.union(equal))
-
-    rest = _apart(met, pairs, found, first)
+    starred = pairs.select("id", F.col("id").alias("label"), F.col("leader").alias("gid"))
+    heads = pairs.select(F.col("leader").alias("id"), F.col("leader").alias("label"), F.col("leader").alias("gid"))
+    links = stored(_open(*_spread(starred, heads.distinct()), texts, shingle, percent), "links")
+    found = components(links.union(equal))
+    rest = _apart(met, pairs, found)
     if rest is not None:
-        second = stored(_open(*_spread(*rest), texts, shingle, percent), "links")
-        found = components(first.union(equal).union(second)) if not second.isEmpty() else found
+        more = stored(_open(*_spread(*rest), texts, shingle, percent), "links")
+        found = found if more.isEmpty() else merged(found, more)
     joined = sized.select("id", "n_shingles").join(found, F.col("id") == F.col("node"), "left")
     return joined.select(
         F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id")
     )
 
 
-def _apart(
-    met: DataFrame, pairs: DataFrame, found: DataFrame, links: DataFrame
-) -> tuple[DataFrame, DataFrame] | None:
+def _apart(met: DataFrame, pairs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     """Queries and members still to be compared: documents that share a token, but no component."""
-    of = found.withColumnsRenamed({"node": "id"})
     nodes = pairs.select("id").union(pairs.select(F.col("leader").alias("id"))).distinct()
-    nodes = stored(nodes.join(of, "id", "left").select("id", F.coalesce("component", "id").alias("component")), "labels")
-    other = nodes.withColumnsRenamed({"id": "leader", "component": "theirs"})
-    apart = pairs.join(nodes, "id").join(other, "leader").filter("component <> theirs").select("id", "leader")
+    labels = nodes.join(found.withColumnsRenamed({"node": "id"}), "id", "left")
+    labels = labels.select("id", F.coalesce("component", "id").alias("label"))
+    sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+    labels = stored(labels.join(sizes, "label").select("id", "label", F.struct("size", "label").alias("rank")), "labels")
+    mine, theirs = labels.select("id", "label"), labels.select(F.col("id").alias("leader"), F.col("label").alias("other"))
+    apart = pairs.join(mine, "id").join(theirs, "leader").filter("label <> other").select("id", "leader")
     apart = stored(apart, "apart")
     if apart.isEmpty():
         return None
     tokens = stored(met.join(apart, ["id", "leader"], "left_semi").select("token").distinct(), "open-tokens")
     open_ = met.join(tokens, "token", "left_semi")
     seats = open_.select("token", "id").union(open_.select("token", F.col("leader").alias("id"))).distinct()
-    seats = stored(seats.join(nodes, "id"), "seats")
-    # Groups: the portions of each document's star, which its smallest linked leader heads.
-    star = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("star"))
-    heads = nodes.join(star, "id", "left").select("id", F.coalesce("star", "id").alias("star"))
-    sizes = heads.groupBy("star").agg(F.ceil(F.count("*") / PORTION).alias("parts"))
-    groups = heads.join(sizes, "star").select(
-        "id", F.xxhash64("star", F.pmod(F.xxhash64("id"), F.col("parts"))).alias("gid")
-    )
-    groups = stored(groups, "groups")
-    # In each token the largest component is not asked for: the others look it up.
-    ranks = seats.groupBy("token", "component").agg(F.count("*").alias("n"))
-    largest = ranks.groupBy("token").agg(F.max(F.struct("n", "component")).alias("m"))
-    matrix = seats.join(groups, "id").groupBy("token", "gid", "component").agg(F.lit(1).alias("one"))
-    matrix = matrix.join(ranks, ["token", "component"]).select(
-        "token", F.col("gid"), F.col("component").alias("theirs"), F.struct("n", "component").alias("rank")
-    )
-    asking = seats.join(largest, "token").filter(F.col("component") != F.col("m.component"))
-    asking = asking.join(ranks, ["token", "component"]).select(
-        "token", "id", F.struct("n", "component").alias("own_rank")
-    )
-    queries = asking.join(matrix, "token").filter(F.col("own_rank") < F.col("rank")).select("id", "gid").distinct()
-    queries = stored(queries, "queries")
-    return queries, groups.join(queries.select("gid").distinct(), "gid", "left_semi").select("id", "gid")
+    seats = stored(seats.join(labels, "id"), "seats")
+    # Groups: portions of the documents that met the same leader most often.
+    own = pairs.groupBy("id").agg(F.max(F.struct("n", (-F.col("leader")).alias("less"))).alias("m"))
+    family = labels.join(own, "id", "left").select("id", "label", F.coalesce(-F.col("m.less"), "id").alias("family"))
+    portions_ = family.groupBy("family").agg(F.ceil(F.count("*") / PORTION).alias("parts"))
+    gid = F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("parts")))
+    groups = stored(family.join(portions_, "family").select("id", "label", gid.alias("gid")), "groups")
+    # The matrix at the size of tokens: which groups have a token, and the highest component there.
+    matrix = seats.join(groups.select("id", "gid"), "id").groupBy("token", "gid").agg(F.max("rank").alias("highest"))
+    # A document looks up the groups that hold one of a larger component; so each pair is met once.
+    queries = seats.join(matrix, "token").filter(F.col("rank") < F.col("highest"))
+    queries = stored(queries.select("id", "label", "gid").distinct(), "queries")
+    return queries, groups.join(queries.select("gid").distinct(), "gid", "left_semi")
