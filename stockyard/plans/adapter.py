@@ -30,20 +30,16 @@ class Source:
     def raw(self, name: str) -> DataFrame:
         return RAW[name](self)
 
-    def spread(self, name: str, *columns: str) -> DataFrame:
-        """The table over all cores, where its files would leave most of them idle."""
-        df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, *columns) if 2 * df.rdd.getNumPartitions() <= cores else df
-
 
 def _id(prefix: str, key: Column | str) -> Column:
-    digits = F.lpad((F.col(key) if isinstance(key, str) else key).cast("string"), 12, "0")
-    return F.concat(F.lit(prefix + "-"), digits)
+    """A prefixed number of 12 digits, or of as many as it has."""
+    digits = (F.col(key) if isinstance(key, str) else key).cast("string")
+    return F.concat(F.lit(prefix + "-"), F.lpad(digits, F.greatest(F.lit(12), F.length(digits)), F.lit("0")))
 
 
-def _lineage(source: str, extracted: str, loaded: Column) -> list[Column]:
+def _lineage(source: str, extracted: Column | str, loaded: Column) -> list[Column]:
     return [
-        F.lit(extracted).alias(f"{source}_extraction_date"),
+        (F.lit(extracted) if isinstance(extracted, str) else extracted).alias(f"{source}_extraction_date"),
         F.lit(f" {source} ").alias("origin"),
         loaded.cast("timestamp_ntz").alias("ingestion_date"),
     ]
@@ -140,7 +136,7 @@ def warehouses(src: Source) -> DataFrame:
 
 def _lines(src: Source) -> DataFrame:
     """Order lines with their customer; the id takes in the price to be unique."""
-    line = src.spread("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    line = src.table("lineitem")
     order = src.table("orders").select("o_orderkey", "o_custkey")
     cents = (F.col("l_extendedprice").cast("decimal(12,2)") * 100).cast("bigint")
     line_id = F.concat_ws(
@@ -151,6 +147,18 @@ def _lines(src: Source) -> DataFrame:
     return line.join(order, line.l_orderkey == order.o_orderkey).withColumn("line_id", line_id)
 
 
+def _named() -> Column:
+    """Whether the line's events have an id."""
+    return ~((F.col("l_linenumber") == 3) & (F.col("l_tax") > 0.065))
+
+
+def _line_quantity() -> Column:
+    """Quantity as noted: sometimes negative, sometimes missing."""
+    quantity = F.col("l_quantity").cast("bigint")
+    counted = ~((F.col("l_linenumber") == 4) & (F.col("l_discount") > 0.085))
+    return F.when(counted, F.when(F.col("l_returnflag") == "R", -quantity).otherwise(quantity))
+
+
 def _line_product() -> Column:
     """Product as noted on the line: sometimes in lower case, sometimes missing."""
     number = F.col("l_linenumber")
@@ -166,15 +174,15 @@ def transactions(src: Source) -> DataFrame:
     quantity, price = F.col("l_quantity").cast("bigint"), F.col("l_extendedprice").cast("decimal(10,2)")
     unpriced = (F.col("l_linenumber") == 5) & (F.col("l_discount") < 0.005)
     return lines.select(
-        F.col("line_id").alias("transaction_id"),
+        F.when(_named(), F.col("line_id")).alias("transaction_id"),
         _id("STORE", "o_custkey").alias("store_id"),
         _line_product().alias("product_id"),
-        F.when(F.col("l_returnflag") == "R", -quantity).otherwise(quantity).alias("quantity_sold"),
+        _line_quantity().alias("quantity_sold"),
         F.when(~unpriced, price).alias("unit_price"),
         F.when(F.col("l_tax") > 0.005, F.col("l_discount").cast("decimal(3,2)")).alias("discount_pct"),
         (price * quantity).cast("decimal(18,2)").alias("sales_amount"),
         F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("transaction_timestamp"),
-        *_lineage("rds", "2024-01-01 10:00:00", F.col("l_shipdate")),
+        *_lineage("rds", F.date_format("l_shipdate", "yyyy-MM-dd 10:00:00"), F.col("l_shipdate")),
     )
 
 
@@ -184,13 +192,12 @@ def shipments(src: Source) -> DataFrame:
     transit = (F.col("l_orderkey") % (F.col("l_suppkey") % 6 + 2)).cast("int")
     promised = (F.col("l_partkey") % 4 + 1).cast("int")
     carrier = F.when(F.col("l_returnflag") == "A", " Road ").when(F.col("l_returnflag") == "R", "Rail")
-    quantity = F.col("l_quantity").cast("bigint")
     return lines.select(
-        F.concat(F.col("line_id"), F.lit(" ")).alias("shipment_id"),
+        F.when(_named(), F.concat(F.col("line_id"), F.lit(" "))).alias("shipment_id"),
         _id("WH", "l_suppkey").alias("warehouse_id"),
         _id("STORE", "o_custkey").alias("store_id"),
         _line_product().alias("product_id"),
-        F.when(F.col("l_returnflag") == "R", -quantity).otherwise(quantity).alias("quantity_shipped"),
+        _line_quantity().alias("quantity_shipped"),
         F.date_format(shipped, "yyyy-MM-dd").alias("shipment_date"),
         F.when(F.col("l_tax") > 0.005, F.date_format(F.date_add(shipped, promised), "yyyy-MM-dd")).alias(
             "expected_delivery_date"
@@ -202,7 +209,8 @@ def shipments(src: Source) -> DataFrame:
 
 
 def inventory(src: Source) -> DataFrame:
-    stock = src.table("lineitem").groupBy("l_suppkey", "l_partkey").agg(
+    """Several counts of the same stock: one for each line number it was ordered under."""
+    stock = src.table("lineitem").groupBy("l_suppkey", "l_partkey", "l_linenumber").agg(
         F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
         F.max("l_shipdate").alias("counted"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -15,7 +16,8 @@ from stockyard.operators.history import SNAPSHOTS, scd2
 from stockyard.plans import oracle
 from stockyard.plans.adapter import Source
 from stockyard.plans.checks import LAYERS
-from stockyard.plans.models import Views
+from stockyard.plans.layers import Run
+from stockyard.plans.models import MODELS, Views
 from stockyard.session import configure, scratch_dir
 from stockyard.sources import files, landing
 from stockyard.sources.jdbc import union_tables
@@ -134,9 +136,45 @@ def upsert_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Two loads: the rows up to a day, then the rows newer than the first load's mark."""
     sales, order = _order_line_sales(views(spark, folder)), ["ingestion_date"]
     first = sales.filter(F.col("ingestion_date") <= F.lit(MERGE_FROM).cast("timestamp_ntz"))
-    target = incremental.latest_by_key(first, ["transaction_id"], order)
+    keys = ["transaction_id"]
+    keyless = incremental.without_key(sales, keys, MODELS["stg_transactions"].unknown)
+    target = incremental.reduced(first, keys, order, keyless)
     batch = incremental.newer_than(sales, incremental.high_water_mark(first))
-    return plain(incremental.upsert(target, batch, ["transaction_id"], order))
+    return plain(incremental.upsert(target, batch, keys, order, keyless=keyless))
+
+
+def _two_loads(spark: SparkSession, folder: str, refresh: bool) -> DataFrame:
+    """Sales per product after two loads into catalog tables of their own, which are dropped again."""
+    source, prefix = Source(configure(spark), folder), f"run_{uuid.uuid4().hex[:12]}_"
+
+    def raw(name: str, cut: str) -> DataFrame:
+        df = source.raw(name)
+        if name != "transactions":
+            return df
+        line = F.substring_index("transaction_id", "-", 2)
+        return df.withColumn("transaction_id", line).filter(F.col("ingestion_date") <= F.lit(cut).cast("timestamp_ntz"))
+
+    for cut in (MERGE_FROM, "2100-01-01"):
+        job = Run(spark, lambda name, cut=cut: raw(name, cut), AS_OF, NOW, enforce=False, prefix=prefix)
+        job.make("stg_products", "stg_transactions", "int_transactions_enriched")
+    if refresh:
+        job.full_refresh = True
+        job.make("int_transactions_enriched")
+    fact, path = job.make("fct_transactions"), scratch_dir(spark, "run")
+    fact.write.parquet(path)
+    for layer in ("staging", "intermediate", "marts"):
+        spark.sql(f"DROP DATABASE IF EXISTS {prefix}{layer} CASCADE")
+    return plain(spark.read.schema(fact.schema).parquet(path))
+
+
+@register("run_increment", oracle.RUN_INCREMENT)
+def run_increment(spark: SparkSession, folder: str) -> DataFrame:
+    return _two_loads(spark, folder, refresh=False)
+
+
+@register("run_full_refresh", oracle.RUN_FULL_REFRESH)
+def run_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    return _two_loads(spark, folder, refresh=True)
 
 
 @register("latest_shipments", oracle.LATEST_SHIPMENTS)

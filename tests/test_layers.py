@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from stockyard.operators.quality import ChecksFailed
 from stockyard.plans.adapter import Source
 from stockyard.plans.layers import Run
+from stockyard.operators.incremental import without_key
 from stockyard.plans.models import Views
+from stockyard.sources import tables
 
 FOLDER, AS_OF = "/root/testdata/sf0.001", "2024-01-01"
 CUT = "1999-01-01 00:00:00"
@@ -85,3 +87,85 @@ def test_failed_checks_stop_the_run(spark, source):
         job.run()
     assert "dim_products" not in job.tables
     assert any(kind == "relationships" for _, _, kind, _ in failed.value.failures)
+
+
+KEYED = "k string, v int, ingestion_date timestamp_ntz"
+
+
+def sales(spark, values):
+    return spark.createDataFrame([(k, v, datetime(2024, 1, d)) for k, v, d in values], KEYED)
+
+
+def part_files(spark, name):
+    state = tables.state_of(spark, name)
+    read = spark.read.parquet(state.folder).filter(F.col(tables.PART).isin(*state.parts))
+    files = read.select(tables.PART, F.col("_metadata.file_path").alias("f")).distinct().collect()
+    return {(r[tables.PART], r.f) for r in files}
+
+
+def test_an_upsert_leaves_other_buckets_alone(spark):
+    name, keys = "parts.upserted", ["k"]
+    first = sales(spark, [(f"k{i}", i, 1) for i in range(200)])
+    tables.publish(first, name, keys, 16, "ingestion_date")
+    before = part_files(spark, name)
+    for day, key in ((2, "k3"), (3, "new"), (4, "k3")):
+        batch = sales(spark, [(key, 1000 + day, day)])
+        buckets = [r[0] for r in batch.select(tables.bucket_of(batch, keys, 16)).collect()]
+        rest = tables.touched(spark, name, buckets).join(batch.select("k"), "k", "left_anti")
+        tables.replace_buckets(rest.unionByName(batch), name, keys, buckets, "ingestion_date")
+    after = part_files(spark, name)
+    assert len({p for p, _ in before - after}) == 2 and len(after) <= 17
+    found = {r.k: r.v for r in spark.table(name).collect()}
+    assert len(found) == 201 and found["k3"] == 1004 and found["new"] == 1003
+    assert tables.published_mark(spark, name, "ingestion_date").startswith("2024-01-04")
+
+
+def test_publishing_goes_on_after_a_job_died(spark):
+    """Rows of a dead attempt are never read; a failed rebuild leaves the table as it was."""
+    name = "parts.crashed"
+    tables.publish(sales(spark, [("a", 1, 1)]), name, ["k"], 4, "ingestion_date")
+    folder = tables.state_of(spark, name).folder
+    sales(spark, [("dead", 9, 9)]).write.parquet(f"{folder}/{tables.PART}=00000-dead")
+    assert [r.k for r in spark.table(name).collect()] == ["a"]
+    broken = sales(spark, [("b", 2, 2)]).withColumn("v", F.raise_error(F.lit("broken")).cast("int"))
+    for write in (lambda: tables.publish(broken, name, ["k"], 4), lambda: tables.write_table(broken, name)):
+        with pytest.raises(Exception, match="broken"):
+            write()
+        assert [r.k for r in spark.table(name).collect()] == ["a"]
+    tables.publish(sales(spark, [("b", 2, 2)]), name, ["k"], 4, "ingestion_date")
+    assert [r.k for r in spark.table(name).collect()] == ["b"]
+    tables.write_table(sales(spark, []), name)
+    assert spark.table(name).count() == 0 and spark.table(name).columns == ["k", "v", "ingestion_date"]
+
+
+def test_closed_versions_stay_where_they_are(spark):
+    name, closed = "parts.history", F.col("v") > 0
+    tables.publish_history(sales(spark, [("a", 0, 1), ("b", 5, 1)]), name, closed)
+    before = {f for p, f in part_files(spark, name) if p.startswith(tables.APPENDED)}
+    assert [r.k for r in tables.open_rows(spark, name).collect()] == ["a"]
+    tables.publish_history(sales(spark, [("a", 7, 2), ("a", 0, 2)]), name, closed)
+    after = {f for p, f in part_files(spark, name) if p.startswith(tables.APPENDED)}
+    assert before < after
+    assert sorted(r.v for r in spark.table(name).collect()) == [0, 5, 7]
+
+
+def test_rows_with_an_unknown_id_all_stay(spark, source, monkeypatch):
+    """Sales without an id are different sales: none replaces another, in the first load or later."""
+    def raw(cut):
+        def table(name):
+            df = up_to(source, cut)(name)
+            unknown = F.col("transaction_id").like("1%")
+            return df.withColumn("transaction_id", F.when(~unknown, F.col("transaction_id"))) if name == "transactions" else df
+
+        return table
+
+    full = Views(raw("2100-01-01"), AS_OF)["stg_transactions"]
+    lost = full.filter("transaction_id = 'UNKNOWN'").count()
+    assert lost > 100
+    for cut in (CUT, "2100-01-01"):
+        job = Run(spark, raw(cut), AS_OF, datetime(2024, 1, 1), enforce=False, buckets=4, prefix="unknown_")
+        staged = job.make("stg_transactions")
+    assert staged.filter("transaction_id = 'UNKNOWN'").count() == lost
+    assert rows(staged) == rows(full)
+    keyless = without_key(full, ["transaction_id"], {"transaction_id": "UNKNOWN"})
+    assert full.filter(keyless).count() == lost
