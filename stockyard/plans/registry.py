@@ -300,7 +300,7 @@ def dq_unlisted_categories(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _write_csv(df: DataFrame, path: str) -> None:
-    writer = df.write.option("header", True).option("escape", '"')
+    writer = df.write.option("header", True).option("escape", '"').mode("append")
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
@@ -316,9 +316,12 @@ def _write_json_arrays(df: DataFrame, key: str, path: str, per_file: int = 50_00
 
 @register("csv_scan", oracle.incoming("transactions"))
 def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Files whose columns stand in another order, in capitals, or are left out where all are NULL."""
     raw, schema = Source(configure(spark), folder).raw("transactions"), incoming("transactions")
-    path = scratch_dir(spark, "csv")
-    _write_csv(raw.select(*schema.names), path)
+    path, names = scratch_dir(spark, "csv"), schema.names
+    priced = F.col("unit_price").isNotNull()
+    _write_csv(raw.filter(priced).select(*[F.col(c).alias(c.upper()) for c in reversed(names)]), path)
+    _write_csv(raw.filter(~priced).select(*[c for c in names if c != "unit_price"]), path)
     return plain(files.read_csv(spark, path, schema))
 
 
@@ -366,12 +369,12 @@ def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("skip_landed", oracle.SKIP_LANDED)
 def skip_landed(spark: SparkSession, folder: str) -> DataFrame:
-    """One source file per order date; the files of finished orders' dates have landed."""
     orders = Source(configure(spark), folder).table("orders")
-    name = F.concat(F.lit("orders_"), F.date_format("o_orderdate", "yyyy_MM_dd"))
-    source = orders.select(F.lit("orders").alias("folder"), name.alias("base")).distinct()
+    """One source file per order date, all of the same base name; those of finished orders' dates have landed."""
+    name = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("/part-0.csv"))
+    source = orders.select(F.lit("orders").alias("folder"), name.alias("name")).distinct()
     done = orders.filter("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'").select(
-        F.lit("orders").alias("folder"), F.concat(name, F.lit("_20240101T123000Z")).alias("base")
+        F.lit("orders").alias("folder"), F.concat(name, F.lit("_20240101T123000Z")).alias("name")
     )
     return files.skip_landed(source, done)
 
@@ -396,7 +399,10 @@ def land_and_load(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_dir(spark, "land")
     source, zone = f"{root}/source", f"{root}/landing"
     rows, small = raw.select(*schema.names), F.col("category").isin("SMALL", "ECONOMY")
-    _write_csv(rows.filter(small), f"{source}/products/csv")
+    # Days are folders, and files of different days have the same name.
+    for day in ("2024-01-01", "2024-01-02"):
+        odd = F.col("category").contains("BRASS")
+        _write_csv(rows.filter(small & (odd if day > "2024-01-01" else ~odd)), f"{source}/products/{day}")
     _write_json_arrays(rows.filter(~small), "product_id", f"{source}/products/json")
     for _ in range(2):
         for extension in ("csv", "json", "txt"):
@@ -409,6 +415,20 @@ def land_and_load(spark: SparkSession, folder: str) -> DataFrame:
     return plain(loaded.drop("ingestion_date"))
 
 
+@register("load_with_bad_file", oracle.LOAD_WITH_BAD_FILE)
+def load_with_bad_file(spark: SparkSession, folder: str) -> DataFrame:
+    """One file among the landed ones is no Parquet file; it is tried again later, the others are not."""
+    raw, schema = Source(configure(spark), folder).raw("suppliers"), landed("suppliers")
+    root = scratch_dir(spark, "bad")
+    raw.select(*schema.names).repartition(3, "supplier_id").write.parquet(f"{root}/landing/good")
+    broken = raw.select("supplier_id").limit(1).coalesce(1).write
+    broken.option("extension", "parquet").csv(f"{root}/landing/bad")
+    found = [landing.load_folder(spark, f"{root}/landing", f"{root}/raw", f"{root}/ledger", schema) for _ in range(2)]
+    loaded = landing.read_raw(spark, f"{root}/raw", schema).drop("ingestion_date")
+    again = F.lit(found[1].files).cast("bigint"), F.lit(len(found[1].unreadable)).cast("bigint")
+    return plain(loaded).withColumns({"files_again": again[0], "unreadable": again[1]})
+
+
 @register("stream_load", oracle.STREAM_LOAD)
 def stream_load(spark: SparkSession, folder: str) -> DataFrame:
     """Two runs of the streaming load; the second one takes in only the files added in between."""

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from collections.abc import Iterable
+from functools import reduce
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,46 +18,109 @@ MISSING_CELLS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Column with the path of the file a row was read from.
+FILE = "_file"
+
 # Time stamp that a landed file's name ends with.
 LANDED_STAMP = r"_\d{8}T\d{6}Z$"
 
 
-def _as_text(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+def plain_path(path: Column) -> Column:
+    """A file's path without percent-encoding; a plus sign stands for itself."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def read_csv(
+def _headers(spark: SparkSession, paths: str | list[str]) -> dict[str, list[str]]:
+    """The files by their first line. A split of a file is read in order by one task, so the first row
+    of its first split is that line; files without any line have none."""
+    lines = spark.read.text(paths).select(
+        plain_path(F.col("_metadata.file_path")).alias("path"), "_metadata.file_block_start", "value"
+    )
+    first = lines.filter("file_block_start = 0").groupBy("path").agg(F.first("value").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.orderBy("path").toLocalIterator():
+        found.setdefault(row.header, []).append(row.path)
+    return found
+
+
+def _read_csv(
     spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """CSV files with a header. With a schema, a cell that does not fit its type fails the query.
+    """CSV files with a header. With a schema, columns are found by the header's names (in any order and
+    case); absent ones are NULL, and files with unknown ones are refused. A cell that does not fit its type
+    fails the query.
 
     Cells are read as text and cast, so that the usual spellings of a missing value become NULL
     and anything else unreadable is not silently dropped. `multi_line` admits line breaks inside
-    quotes, at the price of one task per file.
+    quotes, at the price of one task per file. Files are grouped by header first, which reads them as
+    lines once.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is None:
         return reader.option("inferSchema", True).csv(paths)
-    cells = reader.option("mode", "FAILFAST").schema(_as_text(schema)).csv(paths)
-    return cells.select(
-        *[
-            F.when(~F.col(f.name).isin(*MISSING_CELLS), F.col(f.name))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in schema.fields
-        ]
-    )
-
-
-def read_json(
+    parts = []
+    for header, files in _headers(spark, paths).items():
+        names = [n.strip().lower() for n in next(csv.reader([header.lstrip("\ufeff")]))]
+        refuse_unknown(names, schema)
+        if len(set(names)) < len(names):
+            raise ValueError(f"a column is named twice: {names}")
+        cells = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        read = reader.option("mode", "FAILFAST").schema(cells).csv([literal_path(f) for f in files])
+        parts.append(
+            read.select(
+                *[
+                    F.when(~F.col(f.name).isin(*MISSING_CELLS), F.col(f.name)).cast(f.dataType).alias(f.name)
+                    if f.name in names
+                    else F.lit(None).cast(f.dataType).alias(f.name)
+                    for f in _lower(schema)
+                ],
+                F.col("_metadata.file_path").alias(FILE),
+            )
+        )
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*_lower(schema), T.StructField(FILE, T.StringType())]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _lower(schema: T.StructType) -> list[T.StructField]:
+    return [T.StructField(f.name.lower(), f.dataType) for f in schema.fields]
+
+
+def refuse_unknown(names: Iterable[str], schema: T.StructType) -> None:
+    unknown = {n.lower() for n in names} - {n.lower() for n in schema.names}
+    if unknown:
+        raise ValueError(f"columns not in the raw table: {sorted(unknown)}")
+
+
+def _read_json(
     spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None
 ) -> DataFrame:
-    """JSON files holding an array of records or one single record each; one task per file."""
+    """JSON files holding an array of records or one single record each; one task per file.
+
+    With a schema, absent fields are NULL and unknown ones are refused, for which all files are looked
+    through once more.
+    """
     reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     if schema is None:
         return reader.json(paths)
-    return reader.schema(schema).json(paths).select(*schema.names)
+    # Names of folders are no columns.
+    reader = reader.option("recursiveFileLookup", True)
+    refuse_unknown(reader.option("primitivesAsString", True).json(paths).schema.names, schema)
+    found = reader.schema(schema).json(paths)
+    return found.select(*schema.names, F.col("_metadata.file_path").alias(FILE))
+
+
+def read_csv(
+    spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV files with a header; see `_read_csv`."""
+    return _read_csv(spark, paths, schema, multi_line).drop(FILE)
+
+
+def read_json(spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+    """JSON files; see `_read_json`."""
+    return _read_json(spark, paths, schema).drop(FILE)
 
 
 def read_parquet(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -83,7 +149,8 @@ def _file_name(path: Column) -> Column:
 
 
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Files at any depth below `root`: path, folder (first level), base, extension, size, time.
+    """Files at any depth below `root`: path, folder (first level), name (the path below that folder),
+    base, extension, size, time.
 
     Only file listings are read, never contents.
     """
@@ -97,9 +164,11 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     top = (where.netloc + where.path).rstrip("/") + "/"
     below = F.substring(F.col("path"), F.instr("path", F.lit(top)) + len(top), F.length("path"))
     name = _file_name(F.col("path"))
+    folder = F.when(F.contains(below, F.lit("/")), F.split_part(below, F.lit("/"), F.lit(1)))
     return files.select(
         "path",
-        F.when(F.contains(below, F.lit("/")), F.split_part(below, F.lit("/"), F.lit(1))).alias("folder"),
+        folder.alias("folder"),
+        F.coalesce(F.substring(below, F.length(folder) + 2, F.length("path")), below).alias("name"),
         F.regexp_replace(name, r"\.[^.]*$", "").alias("base"),
         F.when(F.contains(name, F.lit(".")), F.element_at(F.split(name, r"\."), -1)).alias("extension"),
         "size",
@@ -116,26 +185,22 @@ def folder_formats(inventory: DataFrame) -> DataFrame:
     )
 
 
-def skip_landed(source: DataFrame, landed: DataFrame, prefix: bool = False) -> DataFrame:
-    """Source files of an inventory that have no counterpart in the landed inventory.
+def skip_landed(source: DataFrame, landed: DataFrame) -> DataFrame:
+    """Source files of an inventory that have no counterpart among the landed ones (folder, name).
 
-    A landed file is named after its source plus a time stamp. With `prefix` any landed name that
-    merely begins with the source's name counts (so `stock_10_…` also hides `stock_1`).
+    A landed file is named after its source's path below the folder, plus a time stamp.
     """
-    if not prefix:
-        done = landed.select("folder", F.regexp_replace("base", LANDED_STAMP, "").alias("base"))
-        return source.join(done.distinct(), ["folder", "base"], "left_anti").select(*source.columns)
-    # Every beginning of every landed name, as an equi-join key: no pairing of all names.
-    lengths = F.sequence(F.lit(1), F.length("base"))
-    beginnings = landed.select(
-        "folder", F.explode(F.transform(lengths, lambda n: F.substring("base", 1, n))).alias("base")
-    )
-    return source.join(beginnings.distinct(), ["folder", "base"], "left_anti").select(*source.columns)
+    done = landed.select("folder", F.regexp_replace("name", LANDED_STAMP, "").alias("name")).distinct()
+    return source.join(done, ["folder", "name"], "left_anti").select(*source.columns)
 
 
 def read_files(
     spark: SparkSession, extension: str, paths: str | list[str], schema: T.StructType | None = None
 ) -> DataFrame | None:
-    """Files of one format as one scan; formats other than csv and json are ignored."""
-    readers = {"csv": read_csv, "json": read_json}
-    return readers[extension](spark, paths, schema) if extension in readers else None
+    """Files of one format as one scan, each row with its file's path; formats other than csv and json
+    are ignored."""
+    readers = {"csv": _read_csv, "json": _read_json}
+    if extension not in readers:
+        return None
+    found = readers[extension](spark, paths, schema)
+    return found if schema is not None else found.withColumn(FILE, F.col("_metadata.file_path"))

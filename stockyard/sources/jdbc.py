@@ -16,6 +16,11 @@ def _reader(spark: SparkSession, url: str, properties: dict[str, str] | None):
     return reader.options(**(properties or {}))
 
 
+def quoted(*names: str) -> str:
+    """A qualified name as the database spells it, upper and lower case kept."""
+    return ".".join('"' + n.replace('"', '""') + '"' for n in names)
+
+
 def matching_tables(catalog: DataFrame, pattern: str, schema: str) -> DataFrame:
     """Base tables of `schema` whose name fits the pattern, upper and lower case alike."""
     return catalog.filter(
@@ -29,29 +34,31 @@ def discover_tables(
     spark: SparkSession, url: str, pattern: str = SALES_TABLES, schema: str = "public",
     properties: dict[str, str] | None = None,
 ) -> list[str]:
-    """Names of the matching tables, read from the database's own catalog."""
+    """Quoted, qualified names of the matching tables, read from the database's own catalog."""
     catalog = _reader(spark, url, properties).option("dbtable", "information_schema.tables").load()
-    return sorted(row.table_name for row in matching_tables(catalog, pattern, schema).collect())
+    return sorted(quoted(schema, row.table_name) for row in matching_tables(catalog, pattern, schema).collect())
 
 
 def read_table(
     spark: SparkSession, url: str, table: str, split_column: str, partitions: int,
     bounds: tuple | None = None, properties: dict[str, str] | None = None,
 ) -> DataFrame:
-    """One table, read by `partitions` parallel queries over ranges of `split_column`.
+    """One table (a name as the database reads it), by `partitions` parallel queries over ranges of
+    `split_column`.
 
     The ranges cover every row (the outer two are open, NULLs fall into the first), so no row can
     be lost or read twice, unlike with unordered paging. Without `bounds` the database is asked
     for the column's extremes.
     """
     if bounds is None:
-        extremes = f"SELECT min({split_column}) AS low, max({split_column}) AS high FROM {table}"
+        column = quoted(split_column)
+        extremes = f"SELECT min({column}) AS low, max({column}) AS high FROM {table}"
         bounds = tuple(_reader(spark, url, properties).option("query", extremes).load().first())
     reader = _reader(spark, url, properties).option("dbtable", table)
     if bounds[0] is None:
         return reader.load()
     return (
-        reader.option("partitionColumn", split_column)
+        reader.option("partitionColumn", quoted(split_column))
         .option("lowerBound", str(bounds[0]))
         .option("upperBound", str(bounds[1]))
         .option("numPartitions", partitions)

@@ -5,18 +5,24 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import datetime
 from itertools import islice
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockyard.operators.incremental import new_rows
+from stockyard.session import configure
 from stockyard.sources.files import (
+    FILE,
     file_inventory,
     literal_path,
     lower_names,
+    plain_path,
     read_files,
+    refuse_unknown,
     skip_landed,
 )
 from stockyard.sources.schemas import stored_schema
@@ -24,6 +30,11 @@ from stockyard.sources.schemas import stored_schema
 LOAD_ZONE = "Africa/Lagos"
 LEDGER = "path string, size bigint, modified timestamp, processed_at timestamp"
 FILE_IDENTITY = ["path", "size", "modified"]
+# Conditions of errors that a file's content causes.
+UNREADABLE = (
+    "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "CANNOT_MERGE_SCHEMAS", "UNABLE_TO_INFER_SCHEMA",
+    "is not a Parquet file", "PARQUET_COLUMN_DATA_TYPE_MISMATCH", "MALFORMED_RECORD",
+)
 # Files whose names pass through the driver at once.
 FILES_PER_GROUP = 10_000
 
@@ -45,8 +56,11 @@ def write_landing(df: DataFrame, source: str, folder: str, now: datetime | None
 
 
 def load_stamp(now: Column | None = None) -> Column:
-    """The raw table's `ingestion_date`: wall-clock time of the load zone."""
-    utc = F.to_timestamp_ntz((F.current_timestamp() if now is None else now).cast("string"))
+    """The raw table's `ingestion_date`: wall-clock time of the load zone, whatever the session's zone is."""
+    moment = F.current_timestamp() if now is None else now.cast("timestamp")
+    seconds = (F.unix_micros(moment) / F.lit(1_000_000).cast("decimal(18,0)")).cast("decimal(18,6)")
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    utc = start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     return F.convert_timezone(F.lit("UTC"), F.lit(LOAD_ZONE), utc)
 
 
@@ -67,38 +81,47 @@ def _groups(rows: Iterator, size: int) -> Iterator[list]:
 
 
 def landed_files(spark: SparkSession, landing: str, folder: str) -> DataFrame:
-    """What a landing folder holds: folder and base, the source name with its time stamp."""
-    held = read_if_exists(spark, f"{landing}/{folder}", "landed_as string")
-    return held.distinct().select(F.lit(folder).alias("folder"), F.col("landed_as").alias("base"))
+    """What a landing folder holds, from its listing: folder and name, the source's with its time stamp."""
+    try:
+        held = file_inventory(spark, f"{landing}/{folder}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "folder string, name string")
+    # Partition folders have their values escaped once.
+    value = F.regexp_extract("path", "/landed_as=([^/]*)/", 1)
+    names = held.select(plain_path(value).alias("name")).filter("name <> ''").distinct()
+    return names.select(F.lit(folder).alias("folder"), "name")
 
 
 def land_folder(
     spark: SparkSession, root: str, landing: str, folder: str, extension: str,
-    schema: T.StructType | None = None, source: str = "s3", prefix: bool = False,
+    schema: T.StructType | None = None, source: str = "s3",
     now: datetime | None = None, files_per_group: int = FILES_PER_GROUP,
 ) -> int:
     """Copy the files of one folder and format that have not landed yet; the number of files.
 
-    All files of a group are one distributed read and write; each keeps its name, with a time
-    stamp, as the partition `landed_as` of the landing folder.
+    All files of a group are one distributed read and write; each keeps its path below the folder, with a
+    time stamp, as the partition `landed_as` of the landing folder.
     """
+    configure(spark)
     found = file_inventory(spark, root).filter(
         (F.col("folder") == folder) & (F.col("extension") == extension)
     )
-    pending = skip_landed(found, landed_files(spark, landing, folder), prefix)
+    pending = skip_landed(found, landed_files(spark, landing, folder))
     landed = 0
-    for group in _groups(pending.select("path").toLocalIterator(), files_per_group):
+    for group in _groups(pending.select("path", "name").toLocalIterator(), files_per_group):
         paths = [literal_path(row.path) for row in group]
         rows = read_files(spark, extension, paths, schema)
         if rows is None:
             return 0
         moment = F.current_timestamp() if now is None else F.lit(now)
-        # File names arrive percent-encoded; a plus sign stands for itself.
-        name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-        base = F.regexp_replace(name, r"\.[^.]*$", "")
-        named = rows.withColumn(
-            "landed_as", F.concat(base, F.date_format(moment, "'_'yyyyMMdd'T'HHmmss'Z'"))
-        )
+        # The part of the file's path that follows the folder, whose place in it is the same for all.
+        start = len(group[0].path) - len(group[0].name)
+        path = plain_path(F.col(FILE))
+        name = F.substring(path, F.lit(start + 1), F.length(path))
+        stamp = F.date_format(moment, "'_'yyyyMMdd'T'HHmmss'Z'")
+        named = rows.withColumn("landed_as", F.concat(name, stamp)).drop(FILE)
         stamp_lineage(named, source, now).write.mode("append").partitionBy("landed_as").parquet(
             f"{landing}/{folder}"
         )
@@ -109,9 +132,7 @@ def land_folder(
 def to_stored(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast to the raw table's columns; absent ones become NULL, unknown ones are refused."""
     named = lower_names(df)
-    unknown = set(named.columns) - set(schema.names)
-    if unknown:
-        raise ValueError(f"columns not in the raw table: {sorted(unknown)}")
+    refuse_unknown(named.columns, schema)
     return named.select(
         *[
             (F.col(f.name) if f.name in named.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -137,6 +158,7 @@ def append_new(
     """
     extracted = [c for c in schema.names if c.endswith("_extraction_date")]
     prune_on = prune_on or (extracted[0] if extracted else None)
+    configure(batch.sparkSession)
     held = read_raw(batch.sparkSession, path, schema).select(*schema.names)
     fresh = new_rows(held, batch, null_safe, file_column, prune_on)
     stamp = load_stamp(now)
@@ -158,26 +180,58 @@ def mark_processed(files: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
+class Loaded(NamedTuple):
+    """How many files were loaded, and the paths of those that could not be read."""
+
+    files: int
+    unreadable: list[str]
+
+
+def _unreadable(error: Exception) -> bool:
+    """Whether a file's content is at fault, and not the run: its bytes, its types or its columns."""
+    told = str(error)
+    return isinstance(error, (ValueError, TypeError)) or any(c in told for c in UNREADABLE)
+
+
 def load_folder(
     spark: SparkSession, landing: str, raw: str, ledger: str, schema: T.StructType | None = None,
     null_safe: bool = True, prune_on: str | None = None, files_per_group: int = FILES_PER_GROUP,
-) -> int:
-    """Load all landed Parquet files that the ledger lacks into a raw table; the number of files.
+) -> Loaded:
+    """Load all landed Parquet files that the ledger lacks into a raw table.
 
     Files go in groups of bounded size: read, insert new rows, then mark. A run that dies between
     two steps is made good by the next one, which finds the rows already held. File names pass
-    through the driver one group at a time, rows never do.
+    through the driver one group at a time, rows never do. A group with a file that cannot be read is
+    halved until that file is alone; the others are loaded, it stays unmarked for the next run.
     """
+    configure(spark)
     files = file_inventory(spark, landing).filter("extension = 'parquet'")
     pending = unprocessed(files, read_if_exists(spark, ledger, LEDGER)).select(*FILE_IDENTITY)
-    loaded = 0
-    for group in _groups(pending.toLocalIterator(), files_per_group):
+    done, bad = 0, []
+
+    def load(group: list) -> None:
         paths = [literal_path(row.path) for row in group]
         found = spark.read.option("mergeSchema", True).parquet(*paths)
         target = stored_schema(schema or found.schema)
         rows = found.withColumn("source_file", F.col("_metadata.file_path"))
         batch = to_stored(rows, T.StructType([*target.fields]).add("source_file", T.StringType()))
         append_new(batch, raw, target, null_safe, "source_file", prune_on=prune_on)
-        mark_processed(spark.createDataFrame(group, pending.schema), ledger)
-        loaded += len(group)
-    return loaded
+
+    for group in _groups(pending.toLocalIterator(), files_per_group):
+        left = [group]
+        while left:
+            some = left.pop()
+            try:
+                load(some)
+            except (PySparkException, Py4JJavaError, ValueError, TypeError) as error:
+                if not _unreadable(error):
+                    raise
+                if len(some) == 1:
+                    bad.append(some[0].path)
+                else:
+                    half = len(some) // 2
+                    left += [some[half:], some[:half]]
+                continue
+            mark_processed(spark.createDataFrame(some, pending.schema), ledger)
+            done += len(some)
+    return Loaded(done, sorted(bad))

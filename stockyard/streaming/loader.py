@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from stockyard.session import configure
 from stockyard.sources.landing import append_new, to_stored
 from stockyard.sources.schemas import stored_schema
 
@@ -17,11 +18,13 @@ def load_stream(
     schema: T.StructType,
     raw: str,
     checkpoint: str,
-    file_format: str = "parquet",
     files_per_trigger: int = FILES_PER_TRIGGER,
     prune_on: str | None = None,
 ) -> None:
-    """Load every new file of a folder into a raw table, then stop.
+    """Load every new Parquet file of a landing folder into a raw table, then stop.
+
+    Other formats are landed first: a stream would read CSV and JSON without the rules that
+    `land_folder` keeps (columns by name, refused cells).
 
     The checkpoint remembers the files by path. A batch replayed after a failure inserts nothing
     twice, because only rows the table lacks are added. A file rewritten under its old path is not
@@ -33,9 +36,9 @@ def load_stream(
         append_new(to_stored(batch, target), raw, target, prune_on=prune_on)
 
     files = (
-        spark.readStream.format(file_format)
+        configure(spark)
+        .readStream.format("parquet")
         .schema(schema)
-        .option("header", True)
         .option("maxFilesPerTrigger", files_per_trigger)
         .load(landing)
     )

@@ -91,15 +91,70 @@ def test_inventory_and_formats(spark, folder):
 
 
 def test_skip_landed(spark, folder):
+    write(f"{folder}/raw/inventory/2024-01-01/file1.csv", "a\n1\n")
+    write(f"{folder}/raw/inventory/file1.json", "{}")
     source = listing(spark, folder).filter("folder = 'inventory'")
-    schema = "folder string, base string"
-    landed = spark.createDataFrame([("inventory", "file10_20230510T010203Z")], schema)
-    assert [r.base for r in files.skip_landed(source, landed).collect()] == ["file1"]
-    # A bare beginning counts in prefix mode, so file10 hides file1 as well.
-    assert files.skip_landed(source, landed, prefix=True).count() == 0
-    dated = spark.createDataFrame([("inventory", "file1_2023_05_10"), ("products", "file10")], schema)
-    assert files.skip_landed(source, dated).count() == 2
-    assert [r.base for r in files.skip_landed(source, dated, True).collect()] == ["file10"]
+    assert source.count() == 4
+    schema = "folder string, name string"
+    landed = spark.createDataFrame([("inventory", "file10.csv_20230510T010203Z")], schema)
+    left = {"file1.csv", "2024-01-01/file1.csv", "file1.json"}
+    assert {r.name for r in files.skip_landed(source, landed).collect()} == left
+    same = spark.createDataFrame([("inventory", "2024-01-01/file1.csv_20230510T010203Z")], schema)
+    assert {r.name for r in files.skip_landed(source, same).collect()} == {"file1.csv", "file10.csv", "file1.json"}
+    dated = spark.createDataFrame([("inventory", "file1.csv_2023_05_10"), ("products", "file10.csv")], schema)
+    assert files.skip_landed(source, dated).count() == 4
+
+
+def test_csv_columns_are_found_by_name(spark, folder):
+    write(f"{folder}/in/a.csv", "city,warehouse_id,state\nLagos,WH-1,LA\n")
+    write(f"{folder}/in/b.csv", "State,Warehouse_ID\nKN,WH-2\n")
+    write(f"{folder}/in/c.csv", "")
+    schema = T.StructType.fromDDL("warehouse_id string, city string, state string")
+    assert rows(files.read_csv(spark, f"{folder}/in", schema)) == [("WH-1", "Lagos", "LA"), ("WH-2", None, "KN")]
+    write(f"{folder}/in/d.csv", "warehouse_id,colour\nWH-3,red\n")
+    with pytest.raises(ValueError, match="colour"):
+        files.read_csv(spark, f"{folder}/in", schema)
+    write(f"{folder}/none/a.csv", "")
+    assert files.read_csv(spark, f"{folder}/none", schema).columns == schema.names
+
+
+def test_unknown_json_fields_are_refused(spark, folder):
+    schema = T.StructType.fromDDL("a bigint, b string")
+    write(f"{folder}/a.json", '[{"a": 1}]')
+    assert rows(files.read_json(spark, folder, schema)) == [(1, None)]
+    write(f"{folder}/b.json", '[{"a": 1, "colour": "red"}]')
+    with pytest.raises(ValueError, match="colour"):
+        files.read_json(spark, folder, schema)
+
+
+def test_files_of_equal_names_all_land(spark, folder):
+    for day, n in (("2024-01-01", 1), ("2024-01-02", 2)):
+        write(f"{folder}/raw/inventory/{day}/part-0.csv", f"quantity,stock\n{n},{n}\n")
+        assert land(spark, folder) == 1
+    assert land(spark, folder) == 0
+    assert spark.read.parquet(f"{folder}/landing/inventory").count() == 2
+
+
+def test_load_stamp_in_another_session_zone(spark):
+    moment = F.timestamp_micros(F.lit(1704110400000000))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = spark.range(1).select(landing.load_stamp(moment)).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == datetime(2024, 1, 1, 13, 0)
+
+
+def test_a_bad_file_does_not_stop_a_load(spark, folder):
+    for i in range(5):
+        df = spark.createDataFrame([(f"x{i}", i)], "a string, b bigint").coalesce(1)
+        df.write.parquet(f"{folder}/landing/f{i}")
+    write(f"{folder}/landing/bad/part.parquet", "no parquet")
+    found = load(spark, folder)
+    assert found.files == 5 and [p.endswith("bad/part.parquet") for p in found.unreadable] == [True]
+    assert held(spark, folder) == [(f"x{i}", i) for i in range(5)]
+    again = load(spark, folder)
+    assert again.files == 0 and len(again.unreadable) == 1
 
 
 def test_lineage_stamp(spark):
@@ -154,7 +209,7 @@ def test_landing_takes_each_file_once(spark, folder):
     landed = spark.read.parquet(f"{folder}/landing/inventory")
     assert landed.count() == 6
     assert {r.landed_as for r in landed.select("landed_as").collect()} == {
-        f"file{i}_20230510T010203Z" for i in (1, 2, 3, 4, "[5] a+b=c%")
+        f"file{i}.csv_20230510T010203Z" for i in (1, 2, 3, 4, "[5] a+b=c%")
     }
 
 
@@ -173,11 +228,11 @@ def test_ledger_load(spark, folder):
     schema = "a string, b bigint"
     first = spark.createDataFrame([("x", 1), ("x", 1), ("y", None)], schema).coalesce(1)
     first.write.parquet(f"{folder}/landing/one")
-    assert load(spark, folder, files_per_group=1) == 1
-    assert load(spark, folder) == 0
+    assert load(spark, folder, files_per_group=1).files == 1
+    assert load(spark, folder).files == 0
     second = spark.createDataFrame([("y", None), ("z", 3)], schema).coalesce(1)
     second.write.parquet(f"{folder}/landing/two")
-    assert load(spark, folder, prune_on="b") == 1
+    assert load(spark, folder, prune_on="b").files == 1
     assert held(spark, folder) == [("x", 1), ("y", None), ("z", 3)]
 
 
@@ -185,7 +240,7 @@ def test_ledger_load_with_plain_equality(spark, folder):
     for part in ("one", "two"):
         df = spark.createDataFrame([("y", None), ("y", None), ("z", 3)], "a string, b bigint").coalesce(1)
         df.write.parquet(f"{folder}/landing/{part}")
-    assert load(spark, folder, null_safe=False) == 2
+    assert load(spark, folder, null_safe=False).files == 2
     assert held(spark, folder) == [("y", None), ("y", None), ("z", 3)]
 
 
@@ -253,10 +308,10 @@ class Reader:
 def test_partitioned_table_scan_options(spark):
     log = []
     jdbc.read_table(Reader(spark, log, (3, 90)), "jdbc:x", "sales_1", "id", 8, properties={"user": "u"})
-    assert log[0]["query"] == "SELECT min(id) AS low, max(id) AS high FROM sales_1"
+    assert log[0]["query"] == 'SELECT min("id") AS low, max("id") AS high FROM sales_1'
     assert log[1] == {
         "format": "jdbc", "url": "jdbc:x", "fetchsize": 10_000, "user": "u", "dbtable": "sales_1",
-        "partitionColumn": "id", "lowerBound": "3", "upperBound": "90", "numPartitions": 8,
+        "partitionColumn": '"id"', "lowerBound": "3", "upperBound": "90", "numPartitions": 8,
     }
     empty = []
     jdbc.read_table(Reader(spark, empty, (None, None)), "jdbc:x", "sales_1", "id", 8)
@@ -271,15 +326,18 @@ def test_union_of_sales_tables(spark):
     )
 
 
+def test_discovered_names_are_quoted_and_qualified(spark):
+    assert jdbc.quoted("Other", 'Sales "x"') == '"Other"."Sales ""x"""'
+
+
 def test_published_versions(spark):
     name = "shop.stock"
     assert tables.read_table(spark, name) is None
     tables.publish(spark.createDataFrame([(1, "a")], "k int, v string"), name, ["k"], 2)
     for n in (2, 3):
         grown = spark.table(name).unionByName(spark.createDataFrame([(n, "b")], "k int, v string"))
-        tables.publish(grown, name, ["k"], 2, spread=False)
+        tables.publish(grown, name, ["k"], 2)
     assert rows(tables.read_table(spark, name)) == [(1, "a"), (2, "b"), (3, "b")]
-    assert [t.name for t in spark.catalog.listTables("shop", "stock__v*")] == ["stock__v2", "stock__v3"]
     tables.publish(spark.table(name), name, ["k"], 2, marked="k")
     assert tables.published_mark(spark, name, "k") == "3"
     tables.publish(spark.table(name).limit(0), name, ["k"], marked="k")
