@@ -13,8 +13,9 @@ so that a token's row count never exceeds the number of tasks). That finds most
 met the same leader most often are a group, in portions of at most `PORTION`.
 
 *Matrix.* Where a token still holds documents of several components, its rows (token, group) are the
-matrix in which documents look up the groups that hold larger components. A group is stored as the
-union of its members' shingles with their owners. Only where the overlap of a query with the union
+matrix in which documents look up the groups that hold larger components; a document that is linked
+to a member has a known number of tokens in common with its group. Such a group is stored as the union
+of its members' shingles with their owners. Only where the overlap of a query with the union
 suffices is the group opened, and its members' overlaps counted. Documents already known to be connected
 are not compared again.
 """
@@ -78,41 +79,52 @@ class Slots:
         self.percent = percent
         self.lows = np.array([c[0] for c in self.classes])
 
-    def tokens(self, hashes: np.ndarray) -> np.ndarray:
+    def _filled(self, hashes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """The classes whose sets a set can be linked with: class, slots that are equal at least in two
+        linked sets, the slots the set fills, and where in the sorted hashes each begins."""
         n = len(hashes)
         own = int(np.searchsorted(self.lows, n, "right")) - 1
-        out = []
         for k in range(own, len(self.classes)):
             low, differences, slots = self.classes[k]
             # The set meets sets of class k only if it is not too small for the least of them.
             if k > own and 100 * n < self.percent * low:
                 break
-            if not slots:
-                continue
-            slot = ((hashes >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)
-            starts = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
-            sums = np.add.reduceat(mixed(hashes), starts)
-            used = slot[starts]
+            if slots and n:
+                slot = ((hashes >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)
+                starts = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+                yield k, slots - differences, slot[starts], starts
+
+    def least_equal(self, hashes: np.ndarray) -> int:
+        """So many equal tokens a set has with every set it is linked with."""
+        sure = [equal - (self.classes[k][2] - len(used)) for k, equal, used, _ in self._filled(hashes)]
+        return max(1, min(sure, default=1))
+
+    def tokens(self, hashes: np.ndarray) -> np.ndarray:
+        out = []
+        for k, equal, used, starts in self._filled(hashes):
             seed = np.uint64((k + 1) << 40)
-            out.append(mixed(mixed(used + seed) ^ sums))
-            # So many slots are equal at least; all of them may be empty ones.
-            if slots - len(used) >= slots - differences:
+            out.append(mixed(mixed(used + seed) ^ np.add.reduceat(mixed(hashes), starts)))
+            # All slots that are equal may be empty ones.
+            slots = self.classes[k][2]
+            if slots - len(used) >= equal:
                 empty = np.setdiff1d(np.arange(slots, dtype=np.uint64), used)
                 out.append(mixed(mixed(empty + seed) + np.uint64(1)))
         return np.concatenate(out) if out else hashes[:0]
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
+    slots = Slots(percent)
     for batch in batches:
         data, bounds = text_bytes(batch["text"])
-        sizes, prints = [], []
+        sizes, prints, equal = [], [], []
         for first, last in portions(bounds, TEXT_PER_STEP):
             low, high = bounds[first], bounds[last]
             for own in sets_of(data[low:high], bounds[first : last + 1] - low, shingle):
                 sizes.append(len(own))
                 prints.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-        columns = [batch["id"], pa.array(sizes, pa.int64()), pa.array(prints, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["id", "n_shingles", "print"])
+                equal.append(slots.least_equal(own))
+        columns = [batch["id"], pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(equal, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "n_shingles", "print", "least_equal"])
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -256,8 +268,8 @@ def jaccard_components(
     are ignored; an empty table gives an empty result.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    schema = "id long, n_shingles long, print binary"
-    sized = stored(docs.mapInArrow(lambda b: _fingerprints(b, shingle), schema), "fingerprints")
+    schema = "id long, n_shingles long, print binary, least_equal int"
+    sized = stored(docs.mapInArrow(lambda b: _fingerprints(b, shingle, percent), schema), "fingerprints")
     known = sized.filter("id IS NOT NULL AND n_shingles > 0")
     least = known.groupBy("print").agg(F.min("id").alias("b"), F.max("id").alias("most")).filter("b < most")
     equal = known.join(least, "print").filter("id <> b").select(F.col("id").alias("a"), "b")
@@ -278,7 +290,7 @@ def jaccard_components(
     heads = pairs.select(F.col("leader").alias("id"), F.col("leader").alias("label"), F.col("leader").alias("gid"))
     links = stored(_open(*_spread(starred, heads.distinct()), texts, shingle, percent), "links")
     found = components(links.union(equal))
-    rest = _apart(met, pairs, found)
+    rest = _apart(met, pairs, found, sized)
     if rest is not None:
         more = stored(_open(*_spread(*rest), texts, shingle, percent), "links")
         found = found if more.isEmpty() else merged(found, more)
@@ -288,7 +300,9 @@ def jaccard_components(
     )
 
 
-def _apart(met: DataFrame, pairs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+def _apart(
+    met: DataFrame, pairs: DataFrame, found: DataFrame, sized: DataFrame
+) -> tuple[DataFrame, DataFrame] | None:
     """Queries and members still to be compared: documents that share a token, but no component."""
     nodes = pairs.select("id").union(pairs.select(F.col("leader").alias("id"))).distinct()
     labels = nodes.join(found.withColumnsRenamed({"node": "id"}), "id", "left")
@@ -312,7 +326,11 @@ def _apart(met: DataFrame, pairs: DataFrame, found: DataFrame) -> tuple[DataFram
     groups = stored(family.join(portions_, "family").select("id", "label", gid.alias("gid")), "groups")
     # The matrix at the size of tokens: which groups have a token, and the highest component there.
     matrix = seats.join(groups.select("id", "gid"), "id").groupBy("token", "gid").agg(F.max("rank").alias("highest"))
-    # A document looks up the groups that hold one of a larger component; so each pair is met once.
-    queries = seats.join(matrix, "token").filter(F.col("rank") < F.col("highest"))
-    queries = stored(queries.select("id", "label", "gid").distinct(), "queries")
+    # A document looks up the groups that hold one of a larger component; so each pair is met once. Only
+    # groups with as many of its tokens as a linked document has can hold one.
+    met_by = seats.join(matrix, "token").filter(F.col("rank") < F.col("highest"))
+    overlap = met_by.groupBy("id", "label", "gid").agg(F.count("*").alias("n"))
+    least = sized.groupBy("id").agg(F.min("least_equal").alias("least"))
+    queries = overlap.join(least, "id").filter("n >= least").select("id", "label", "gid")
+    queries = stored(queries, "queries")
     return queries, groups.join(queries.select("gid").distinct(), "gid", "left_semi")
