@@ -10,8 +10,20 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 
 
+# Sizes measured by this process, by application and plan. A table that has changed has another plan if
+# its files have; a size that has grown stale costs a shuffle or a larger broadcast, never rows.
+_sizes: dict[tuple[str, int], tuple[int, int]] = {}
+
+
 def measured_size(df: DataFrame) -> tuple[int, int]:
-    """Rows and approximate bytes, from one aggregate over the table."""
+    """Rows and approximate bytes, from one aggregate over the table, measured once per plan."""
+    known = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
+    if known not in _sizes:
+        _sizes[known] = _measure(df)
+    return _sizes[known]
+
+
+def _measure(df: DataFrame) -> tuple[int, int]:
     width = sum(
         (F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) + 8 for name in df.columns),
         F.lit(0),

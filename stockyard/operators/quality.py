@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
 @dataclass(frozen=True)
 class Check:
     """One declared check. `values` serve accepted_values, `parent` = (table, column) relationships."""
@@ -21,6 +20,10 @@ class Check:
     parent: tuple[str, str] | None = None
 
 
+# Checks that count values over the whole table; all others judge a row by itself.
+BY_VALUE = ("unique", "relationships")
+
+
 def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -99,19 +102,16 @@ def _result_rows(counts: DataFrame, checks: list[Check]) -> DataFrame:
     return counts.select(F.explode(results).alias("r")).select("r.*")
 
 
-def _row_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All row checks in one aggregate over the table."""
-    return df.agg(*[F.count_if(failing(c)).alias(f"f{i}") for i, c in enumerate(checks)])
-
-
-def _value_failures(
-    df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]
-) -> DataFrame:
-    """All unique and relationships checks in one count per checked value."""
-    pairs = F.array(
-        *[F.struct(F.lit(i).alias("i"), _text(c.column).alias("value")) for i, c in enumerate(checks)]
-    )
-    values = df.select(F.explode(pairs).alias("p")).select("p.*").filter("value IS NOT NULL")
+def _failures(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]) -> DataFrame:
+    """All checks of a table in one pass: a row tells which row checks it fails and which values it holds
+    for the value checks, and these are counted."""
+    told = []
+    for i, c in enumerate(checks):
+        by_value = c.kind in BY_VALUE
+        value = _text(c.column) if by_value else F.lit("")
+        meant = value.isNotNull() if by_value else failing(c)
+        told.append(F.when(meant, F.struct(F.lit(i).alias("i"), value.alias("value"))))
+    values = df.select(F.explode(F.array_compact(F.array(*told))).alias("p")).select("p.*")
     counts = values.groupBy("i", "value").agg(F.count("*").alias("rows"))
     known = [
         parents[c.parent[0]].select(F.lit(i).alias("i"), _text(c.parent[1]).alias("value"))
@@ -127,23 +127,17 @@ def _value_failures(
     totals = []
     for i, c in enumerate(checks):
         here = F.col("i") == i
-        failed = F.sum(F.when(here & orphan, F.col("rows"))) if c.parent else F.count_if(
-            here & (F.col("rows") > 1)
-        )
+        if c.kind == "unique":
+            failed = F.count_if(here & (F.col("rows") > 1))
+        else:
+            failed = F.sum(F.when(here & orphan if c.parent else here, F.col("rows")))
         totals.append(failed.alias(f"f{i}"))
     return counts.agg(*totals)
 
 
 def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]) -> DataFrame:
     """One row per check of one table: table_name, column_name, check_name, failures."""
-    by_value = [c for c in checks if c.kind in ("unique", "relationships")]
-    by_row = [c for c in checks if c not in by_value]
-    parts = []
-    if by_row:
-        parts.append(_result_rows(_row_failures(df, by_row), by_row))
-    if by_value:
-        parts.append(_result_rows(_value_failures(df, by_value, parents), by_value))
-    return reduce(DataFrame.unionAll, parts)
+    return _result_rows(_failures(df, checks, parents), checks)
 
 
 def run_suite(

@@ -45,6 +45,7 @@ def local_session(app: str, cores: int = 8, **conf: str) -> SparkSession:
 
 
 _local_root: list[str] = []
+_scratch: list[str] = []
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
@@ -60,4 +61,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         if not _local_root:
             _local_root.append(tempfile.mkdtemp(prefix="run-"))
         root = _local_root[0]
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _scratch.append(f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    return _scratch[-1]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders handed out so far; DataFrames that read them can no longer run."""
+    while _scratch:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
