@@ -65,8 +65,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return _scratch[-1]
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete the scratch folders handed out so far; DataFrames that read them can no longer run."""
-    while _scratch:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+def scratch_folders() -> list[str]:
+    """The scratch folders handed out so far and not deleted since."""
+    return list(_scratch)
+
+
+def clear_scratch(spark: SparkSession, folders: list[str] | None = None) -> None:
+    """Delete scratch folders, by default all that are left; DataFrames that read them can no longer run."""
+    for folder in scratch_folders() if folders is None else folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if folder in _scratch:
+            _scratch.remove(folder)
