@@ -1,32 +1,59 @@
 """The corpus pipeline: documents judged, deduplicated, mixed and packed into training sequences.
 
 Each stage takes the documents its predecessor kept, with all their columns, and its decisions take
-effect; stages are written as Parquet and read again. Documents without an identifier pass the near
-duplicate stage, as they are linked with nothing.
+effect; stages are written as Parquet and read again, upon which a stage's scratch tables are no longer
+needed: the next stage deletes them first. Documents without an identifier pass the near duplicate stage,
+as they are linked with nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockyard.llm import exact_dedup, group_join, mixing, packing, quality_rules
 from stockyard.llm.common import stored, table, tokenizer_path
+from stockyard.session import clear_scratch, scratch_folders
 
 # Small sources are repeated this often at most; the largest is used exactly once, so none is cut.
 MOST_EPOCHS = 1.25
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Scratch tables of the stage before.
+_left: list[str] = []
+
+
+def _after_the_last(stage: Stage) -> Stage:
+    """The stage, after deleting what the one before needed until its result was written."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        clear_scratch(spark, _left)
+        before = set(scratch_folders())
+        out = stage(spark, docs, sf_dir)
+        _left[:] = [f for f in scratch_folders() if f not in before]
+        return out
+
+    return run_stage
+
+
+@_after_the_last
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return quality_rules.good_documents(docs)
 
 
+@_after_the_last
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one row stays."""
     return exact_dedup.without_exact_duplicates(docs)
 
 
+@_after_the_last
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the smallest identifier stays."""
     found = group_join.jaccard_components(docs)
@@ -34,11 +61,13 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
+@_after_the_last
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are drawn towards equal weights; documents of small ones occur up to twice."""
     return mixing.mixture(docs, most_epochs=MOST_EPOCHS)
 
 
+@_after_the_last
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece of each document's tokens with its place in a sequence."""
     return packing.packed(docs, tokenizer_path())
