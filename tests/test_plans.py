@@ -135,3 +135,33 @@ def test_views_build_each_table_once(spark):
     tables = views(spark, FOLDER)
     assert tables["stg_products"] is tables["stg_products"]
     assert tables.lookup("stg_products") is tables.lookup("stg_products")
+
+
+def test_the_given_tables_make_every_case(spark):
+    """What the queries are compared on differs: counts to rank by, events without an id, each status."""
+    tables = views(spark, FOLDER)
+    out = tables["int_inventory_health"].filter("stock_status = 'Stock-Out'")
+    counts = out.groupBy("product_id", "warehouse_id").count().select("count").distinct()
+    assert counts.count() >= 3
+    for name, key in (("stg_transactions", "transaction_id"), ("stg_shipments", "shipment_id")):
+        assert tables[name].filter(F.col(key) == "UNKNOWN").count() > 10
+    found = {r[0] for r in tables["int_transactions_enriched"].select("financial_status").distinct().collect()}
+    assert {"Breakeven", "Loss"} <= found and len(found) >= 3
+    assert tables["raw_transactions"].select("rds_extraction_date").distinct().count() > 100
+
+
+def scans(df, table: str) -> int:
+    text = plan(df)
+    return sum(line.startswith("Location") and f"/{table}.parquet" in line for line in text.splitlines())
+
+
+def test_suites_read_each_table_once(spark, settings):
+    settings(exchange__reuse="false")
+    assert scans(QUERIES["dq_staging"](spark, FOLDER), "lineitem") == 3
+    assert scans(QUERIES["dq_marts"](spark, FOLDER), "lineitem") == 4
+
+
+def test_lookups_are_measured_once(spark):
+    lookup = spark.range(100).select(F.col("id").alias("k"))
+    first = measured_size(lookup)
+    assert measured_size(spark.range(100).select(F.col("id").alias("k"))) == first == (100, first[1])
