@@ -8,9 +8,10 @@ sets of that size, and a few more. The hash of what a set has in one slot is a t
 therefore have equal tokens in some slots: at least one that is not empty, or both sets have so many
 empty slots that those are tokens too. Sets of different sizes share slots by size classes.
 
-*Groups.* Documents that meet in a token are compared with the smallest of them (first within a task,
-so that a token's row count never exceeds the number of tasks). That finds most links. Documents that
-met the same leader most often are a group, in portions of at most `PORTION`.
+*Groups.* Documents that meet in a token have the smallest of them as its leader (first within a task,
+so that a token's row count never exceeds the number of tasks); each is compared with the leaders it met
+most often. That finds most links. Documents that
+met the same leader most often are a group, in portions of about `PORTION` shingles.
 
 *Matrix.* Where a token still holds documents of several components, its rows (token, group) are the
 matrix in which documents look up the groups that hold larger components; a document that is linked
@@ -35,8 +36,10 @@ from stockyard.llm.components import components, merged
 from stockyard.llm.words import mixed, sequences, words_of
 
 SHINGLE, PERCENT = 4, 85
-# Members of a group, and queries that are brought to one copy of it.
-PORTION, QUERIES = 256, 256
+# Shingles in a group's sets together, and queries that are brought to one copy of a group.
+PORTION, QUERIES = 1 << 18, 1024
+# Of the leaders that a document has met, so many it met most often are compared with it at once.
+LEADERS = 2
 TEXT_PER_STEP = 1 << 22
 
 
@@ -66,7 +69,7 @@ def size_classes(percent: int, most: int = 1 << 40) -> list[tuple[int, int, int]
         # Of two sets in a class; the count of differences goes up and down by one as sizes grow.
         both = range(max(2, 2 * high - 200), 2 * high + 1)
         differences = max(s - 2 * least_common(s, 0, percent) for s in both)
-        out.append((low, differences, differences + 2 + differences // 16 if differences > 0 else 0))
+        out.append((low, differences, differences + 2 + differences // 8 if differences > 0 else 0))
         low = high + 1
     return out
 
@@ -285,9 +288,13 @@ def jaccard_components(
     pairs = stored(met.groupBy("id", "leader").agg(F.count("*").alias("n")), "pairs")
 
     wanted = pairs.select("id").union(pairs.select("leader")).distinct()
-    texts = stored(present.join(wanted, "id", "left_semi"), "texts")
-    starred = pairs.select("id", F.col("id").alias("label"), F.col("leader").alias("gid"))
-    heads = pairs.select(F.col("leader").alias("id"), F.col("leader").alias("label"), F.col("leader").alias("gid"))
+    # The wanted documents are a share of all, so they are no broadcast however few they are here.
+    texts = stored(present.join(wanted.hint("merge"), "id", "left_semi"), "texts")
+    often = F.sort_array(F.collect_list(F.struct("n", (-F.col("leader")).alias("less"))), asc=False)
+    best = pairs.groupBy("id").agg(F.slice(often, 1, LEADERS).alias("best"))
+    best = stored(best.select("id", F.explode("best.less").alias("less")).select("id", (-F.col("less")).alias("leader")), "best")
+    starred = best.select("id", F.col("id").alias("label"), F.col("leader").alias("gid"))
+    heads = best.select(F.col("leader").alias("id"), F.col("leader").alias("label"), F.col("leader").alias("gid"))
     links = stored(_open(*_spread(starred, heads.distinct()), texts, shingle, percent), "links")
     found = components(links.union(equal))
     rest = _apart(met, pairs, found, sized)
@@ -317,11 +324,15 @@ def _apart(
     tokens = stored(met.join(apart, ["id", "leader"], "left_semi").select("token").distinct(), "open-tokens")
     open_ = met.join(tokens, "token", "left_semi")
     seats = open_.select("token", "id").union(open_.select("token", F.col("leader").alias("id"))).distinct()
-    seats = stored(seats.join(labels, "id"), "seats")
+    known = sized.groupBy("id").agg(F.min("least_equal").alias("least"), F.max("n_shingles").alias("width"))
+    # A document with fewer such tokens than a link guarantees has none left to find.
+    counts = seats.groupBy("id").agg(F.count("*").alias("n")).join(known, "id").filter("n >= least")
+    seats = stored(seats.join(labels.join(counts.select("id"), "id", "left_semi"), "id"), "seats")
     # Groups: portions of the documents that met the same leader most often.
     own = pairs.groupBy("id").agg(F.max(F.struct("n", (-F.col("leader")).alias("less"))).alias("m"))
     family = labels.join(own, "id", "left").select("id", "label", F.coalesce(-F.col("m.less"), "id").alias("family"))
-    portions_ = family.groupBy("family").agg(F.ceil(F.count("*") / PORTION).alias("parts"))
+    family = stored(family.join(known, "id"), "families")
+    portions_ = family.groupBy("family").agg(F.ceil(F.sum("width") / PORTION).alias("parts"))
     gid = F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("parts")))
     groups = stored(family.join(portions_, "family").select("id", "label", gid.alias("gid")), "groups")
     # The matrix at the size of tokens: which groups have a token, and the highest component there.
@@ -330,7 +341,6 @@ def _apart(
     # groups with as many of its tokens as a linked document has can hold one.
     met_by = seats.join(matrix, "token").filter(F.col("rank") < F.col("highest"))
     overlap = met_by.groupBy("id", "label", "gid").agg(F.count("*").alias("n"))
-    least = sized.groupBy("id").agg(F.min("least_equal").alias("least"))
-    queries = overlap.join(least, "id").filter("n >= least").select("id", "label", "gid")
+    queries = overlap.join(family.select("id", "least"), "id").filter("n >= least").select("id", "label", "gid")
     queries = stored(queries, "queries")
     return queries, groups.join(queries.select("gid").distinct(), "gid", "left_semi")

@@ -79,7 +79,7 @@ def test_jaccard_near_the_threshold(spark):
 
 
 def test_jaccard_of_a_large_group_of_near_copies(spark, monkeypatch):
-    monkeypatch.setattr(group_join, "PORTION", 4)
+    monkeypatch.setattr(group_join, "PORTION", 200)
     rnd = np.random.default_rng(4)
     base = [f"b{i}" for i in range(60)]
     rows = []
