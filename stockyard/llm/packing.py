@@ -25,7 +25,6 @@ from stockyard.llm.tokens import encoder
 
 SIZE = 1024
 END_OF_TEXT = 2
-TEXT_PER_STEP = 1 << 21
 
 
 def fullest(counts: np.ndarray, room: int) -> list[tuple[int, int]]:
@@ -87,43 +86,29 @@ def minimum_slack(counts: dict[int, int], size: int = SIZE) -> list[Use]:
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, size: int) -> Iterator[pa.RecordBatch]:
     """The pieces of each text. `local` numbers a task's pieces of the same length."""
-    part, seen, encode = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64), encoder(path).encode
+    part, seen, encode = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64), encoder(path)
     end = np.array([END_OF_TEXT], "<u4")
     for batch in batches:
-        ids, texts = batch["doc_id"], batch["text"]
-        first = 0
-        while first < len(texts):
-            some, total = [], 0
-            while first + len(some) < len(texts) and (not some or total < TEXT_PER_STEP):
-                text = texts[first + len(some)].as_py() or ""
-                some.append(text)
-                total += len(text)
-            row, piece, start, length, crc = [], [], [], [], []
-            for i, found in enumerate(encode(some)):
-                found = np.concatenate([found, end]).astype("<u4", copy=False)
-                n = -(-len(found) // size)
-                cut = len(found) - (n - 1) * size
-                bounds = [0, *range(cut, len(found) + 1, size)]
-                for k in range(n):
-                    row.append(first + i)
-                    piece.append(k)
-                    start.append(bounds[k])
-                    length.append(bounds[k + 1] - bounds[k])
-                    crc.append(zlib.crc32(found[bounds[k] : bounds[k + 1]].tobytes()))
-            local = []
-            for n in length:
-                local.append(int(seen[n]))
-                seen[n] += 1
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids.take(pa.array(row, pa.int64())),
-                    pa.array(piece, pa.int32()),
-                    *[pa.array(x, pa.int64()) for x in (start, length, crc, local)],
-                    pa.array([part] * len(row), pa.int64()),
-                ],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "local", "part"],
-            )
-            first += len(some)
+        out: dict[str, list[int]] = {n: [] for n in ("row", "piece", "start", "length", "crc", "local")}
+        for row, text in enumerate(batch["text"]):
+            found = np.concatenate([encode(text.as_py() or ""), end]).astype("<u4", copy=False)
+            n = -(-len(found) // size)
+            bounds = [0, *range(len(found) - (n - 1) * size, len(found) + 1, size)]
+            for k in range(n):
+                length = bounds[k + 1] - bounds[k]
+                crc = zlib.crc32(found[bounds[k] : bounds[k + 1]].tobytes())
+                for name, value in zip(out, (row, k, bounds[k], length, crc, int(seen[length])), strict=True):
+                    out[name].append(value)
+                seen[length] += 1
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch["doc_id"].take(pa.array(out["row"], pa.int64())),
+                pa.array(out["piece"], pa.int32()),
+                *[pa.array(out[n], pa.int64()) for n in ("start", "length", "crc", "local")],
+                pa.array([part] * len(out["row"]), pa.int64()),
+            ],
+            ["doc_id", "piece", "start", "length", "ids_crc32", "local", "part"],
+        )
 
 
 def packed(

@@ -1,9 +1,10 @@
-"""Token ids of whole texts by a byte-level BPE tokenizer, with a bounded memory of pieces seen."""
+"""Token ids of whole texts by a byte-level BPE tokenizer."""
 
 from __future__ import annotations
 
 import json
 import os
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
@@ -18,7 +19,7 @@ def _bytes_of_letters() -> dict[str, int]:
 
 def _ranks(path: str) -> dict[bytes, int] | None:
     """The file's vocabulary as ranks of byte strings, if it is plain byte-level BPE numbered in the
-    order of its merges: then either library finds the same ids, and tiktoken sooner."""
+    order of its merges: then either library finds the same ids, and tiktoken several times sooner."""
     with open(path, encoding="utf-8") as file:
         told = json.load(file)
     model, before = told["model"], told.get("pre_tokenizer") or {}
@@ -34,118 +35,24 @@ def _ranks(path: str) -> dict[bytes, int] | None:
     return {bytes(letters[c] for c in text): i for text, i in ordinary.items()}
 
 
-class Encoder:
-    """Ids of texts, special tokens' strings taken as ordinary text.
-
-    A space or a line feed beside two other characters always begins a new piece of the tokenizer's own
-    pattern, so pieces are encoded apart and remembered, up to `room` of them. Texts with other white
-    space are encoded as a whole.
-    """
-
-    def __init__(self, path: str, room: int = 300_000):
-        ranks = _ranks(path)
-        if ranks:
-            import public_tokenizers
-            import tiktoken
-
-            fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-            self.ids = lambda text: fast.encode_to_numpy(text, disallowed_special=())
-        else:
-            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-            from tokenizers import Tokenizer
-
-            slow = Tokenizer.from_file(path)
-            slow.encode_special_tokens = True
-            self.ids = lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-        found = self.ids("\n")
-        # Without one id of its own for the line feed nothing can be taken apart.
-        self.line_feed = int(found[0]) if len(found) == 1 else None
-        self.room = room
-        # Pieces that stand for others' white space: texts that hold them are encoded as a whole.
-        self.known: dict[str, int] = {"": 0, "\n": 0}
-        self.odd = np.zeros(1 << 16, bool)
-        self.odd[0] = True
-        self.ids_of = np.zeros(1 << 16, np.uint32)
-        self.start = np.zeros(1 << 16, np.int64)
-        self.length = np.zeros(1 << 16, np.int64)
-        self.used, self.pieces = 0, 1
-
-    def _apart(self, pieces: list[str]) -> list[np.ndarray]:
-        """The ids of each piece. None holds a line feed, so line feeds can part them in one call."""
-        if not pieces:
-            return []
-        ids = self.ids("\n".join(pieces))
-        cuts = np.flatnonzero(ids == self.line_feed)
-        starts, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
-        return [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        base = self.pieces
-        bare = [p[1:] if p[0] == "\n" else p for p in pieces]
-        odd = np.array([len(p.split()) != 1 or p.split()[0] != p for p in bare])
-        after = [i for i, p in enumerate(pieces) if p[0] == "\n" and not odd[i]]
-        spaced = [i for i, p in enumerate(pieces) if p[0] != "\n" and not odd[i]]
-        arrays = [self.ids_of[:0]] * len(pieces)
-        feed = np.array([self.line_feed], np.uint32)
-        for i, ids in zip(after, self._apart([bare[i] for i in after]), strict=True):
-            arrays[i] = np.concatenate([feed, ids])
-        for i, ids in zip(spaced, self._apart([" " + bare[i] for i in spaced]), strict=True):
-            arrays[i] = ids
-        lengths = np.array([len(a) for a in arrays], np.int64)
-        while base + len(pieces) > len(self.start):
-            self.start, self.length = np.concatenate([self.start] * 2), np.concatenate([self.length] * 2)
-            self.odd = np.concatenate([self.odd, np.zeros(len(self.odd), bool)])
-        total = int(lengths.sum())
-        while self.used + total > len(self.ids_of):
-            self.ids_of = np.concatenate([self.ids_of] * 2)
-        self.start[base : base + len(pieces)] = self.used + np.cumsum(lengths) - lengths
-        self.length[base : base + len(pieces)] = lengths
-        self.odd[base : base + len(pieces)] = odd
-        self.ids_of[self.used : self.used + total] = np.concatenate(arrays)
-        self.used, self.pieces = self.used + total, base + len(pieces)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
-        if self.line_feed is None:
-            return [self.ids(t) if t else self.ids_of[:0] for t in texts]
-        pieces, counts, heads = [], [], []
-        for text in texts:
-            own = text.replace("\n", " \n").split(" ")
-            heads.append(own[0])
-            counts.append(len(own) - 1)
-            pieces += own[1:]
-        get = self.known.get
-        index = np.array([get(p, -1) for p in pieces], np.int64)
-        kept = self.used, self.pieces
-        missing = np.flatnonzero(index < 0).tolist()
-        if missing:
-            fresh: dict[str, int] = {}
-            index[missing] = [fresh.setdefault(pieces[i], kept[1] + len(fresh)) for i in missing]
-            self._learn(list(fresh))
-        bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-        lengths = self.length[index]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        places = np.repeat(self.start[index] - ends[:-1], lengths) + np.arange(ends[-1])
-        ids = self.ids_of[places]
-        odd = np.concatenate([[0], np.cumsum(self.odd[index])])
-        whole = (odd[bounds[1:]] > odd[bounds[:-1]]).tolist()
-        whole = [w or (h != "" and h.split() != [h]) for w, h in zip(whole, heads, strict=True)]
-        first = iter(self._apart([h for h, w in zip(heads, whole, strict=True) if h and not w]))
-        out, cuts = [], ends[bounds].tolist()
-        for i, text in enumerate(texts):
-            if whole[i]:
-                out.append(self.ids(text))
-            else:
-                rest = ids[cuts[i] : cuts[i + 1]]
-                out.append(np.concatenate([next(first), rest]) if heads[i] else rest)
-        if missing and self.pieces <= self.room:
-            self.known.update(fresh)
-        else:
-            self.used, self.pieces = kept
-        return out
-
-
 @cache
-def encoder(path: str) -> Encoder:
-    """One encoder for each Python worker."""
-    return Encoder(path)
+def encoder(path: str) -> Callable[[str], np.ndarray]:
+    """The ids of a text by the tokenizer in a file, special tokens' strings taken as ordinary text; one
+    encoder for each Python worker."""
+    if ranks := _ranks(path):
+        import public_tokenizers
+        import tiktoken
+
+        fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return lambda text: fast.encode_to_numpy(text, disallowed_special=())
+    return slow_encoder(path)
+
+
+def slow_encoder(path: str) -> Callable[[str], np.ndarray]:
+    """The same by the library whose file it is, whatever its tokenizer does."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(path)
+    slow.encode_special_tokens = True
+    return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
