@@ -4,11 +4,12 @@ import collections
 import hashlib
 import zlib
 
+import numpy as np
 import pytest
-from cases import base_spans, empty, odd, rows_of, same, statistics  # noqa: F401
+from cases import WORD, base_spans, empty, odd, rows_of, same, statistics  # noqa: F401
 
 from stockyard.llm.personal_data import expectation_maximisation, personal_data
-from stockyard.llm.quality_rules import good_documents, quality
+from stockyard.llm.quality_rules import CUT, LEAST_SPREAD, good_documents, quality
 from stockyard.llm.toxicity import toxicity
 from stockyard.llm.url_filter import RULES, Rule, build, find, judged
 
@@ -152,3 +153,42 @@ def test_toxicity_of_odd_rows(spark, odd, empty):  # noqa: F811
     assert {r["held_out"] for r in found if r["doc_id"] is None} == {False}
     assert all(r["score"] == 0 for r in toxicity(odd, labels.limit(0)).collect())
     assert toxicity(empty, labels).count() == 0
+
+
+def plain_distances(table):
+    """Distances by the same estimate in numpy, per language and source."""
+    spread, grid = np.array(LEAST_SPREAD), 256
+    out = {}
+    for _, group in table.groupby(["lang", "source"], dropna=False):
+        x = group[["x0", "x1", "x2", "x3"]].to_numpy()
+        rounded = np.sign(x) * np.floor(np.abs(x) * grid + 0.5)
+        middle = np.median(rounded, axis=0) / grid
+        away = np.floor(np.abs(x - middle) * grid + 0.5)
+        sigma = np.median(away, axis=0) / grid * 1.4826
+        low = np.diag(np.sqrt(sigma**2 + spread**2))
+        for _ in range(3):
+            d2 = (np.linalg.solve(low, (x - middle).T) ** 2).sum(axis=0)
+            step = np.floor(np.log1p(d2) * 64)
+            core = rounded[step <= np.percentile(step, 75)] / grid
+            middle = core.mean(axis=0)
+            cov = core.T @ core / len(core) - np.outer(middle, middle) + np.diag(spread**2)
+            low = np.linalg.cholesky(cov)
+        d2 = (np.linalg.solve(low, (x - middle).T) ** 2).sum(axis=0)
+        scale = min(1, 3.3567 / max(np.median(np.floor(d2 * grid + 0.5)) / grid, 1e-9))
+        out |= dict(zip(group["doc_id"], np.sqrt(d2 * scale)))
+    return out
+
+
+def test_distances(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    found = quality(docs).filter("NOT base_failed").join(docs.select("doc_id", "lang", "source", "text"), "doc_id").toPandas()
+    lines = [sum(1 for x in t.split("\n") if WORD.search(x)) for t in found.text]
+    found["x0"] = np.log((found.word_chars + 1) / found.n_words)
+    found["x1"] = np.sqrt(found.n_symbols / found.word_chars)
+    found["x2"] = np.sqrt(found.n_dup_lines / np.array(lines))
+    found["x3"] = np.sqrt(found.n_repeat_words / found.n_words)
+    plain = plain_distances(found)
+    off = [abs(plain[d] - v) for d, v in zip(found.doc_id, found.distance)]
+    # A quantile may fall to the other side of a grid line by the last bit of a logarithm.
+    assert np.quantile(off, 0.95) < 1e-6
+    assert ((found.distance**2 <= CUT) == found.kept).all()
