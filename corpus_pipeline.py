@@ -12,7 +12,6 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stockyard.llm import exact_dedup, group_join, mixing, packing, quality_rules
 from stockyard.llm.common import stored, table, tokenizer_path

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from stockyard.session import scratch_dir
 
-# The white space that parts words, as a Java pattern and as characters.
+# The white space that parts words, as a Java pattern.
 WHITE = "[\\x20\\x09-\\x0D]+"
-WHITE_CHARS = " \t\n\x0b\x0c\r"
 
 
 # The public tokenizer that the queries use; operators take any file's path.

@@ -11,7 +11,8 @@ empty slots that those are tokens too. Sets of different sizes share slots by si
 *Groups.* Documents that meet in a token have the smallest of them as its leader (first within a task,
 so that a token's row count never exceeds the number of tasks); each is compared with the leaders it met
 most often. That finds most links. Documents that
-met the same leader most often are a group, in portions of about `PORTION` shingles.
+lead to the same document, by the leader each met most often, are a family; its portions of about `PORTION`
+shingles are the groups.
 
 *Matrix.* Where a token still holds documents of several components, its rows (token, group) are the
 matrix in which documents look up the groups that hold larger components; a document that is linked
@@ -40,6 +41,8 @@ SHINGLE, PERCENT = 4, 85
 PORTION, QUERIES = 1 << 18, 1024
 # Of the leaders that a document has met, so many it met most often are compared with it at once.
 LEADERS = 2
+# Doublings of the way from a document over its leader, and that one's leader, to its family's first.
+WAY = 3
 TEXT_PER_STEP = 1 << 22
 
 
@@ -328,9 +331,14 @@ def _apart(
     # A document with fewer such tokens than a link guarantees has none left to find.
     counts = seats.groupBy("id").agg(F.count("*").alias("n")).join(known, "id").filter("n >= least")
     seats = stored(seats.join(labels.join(counts.select("id"), "id", "left_semi"), "id"), "seats")
-    # Groups: portions of the documents that met the same leader most often.
+    # Groups: portions of families. A family's documents lead, by the leader each met most often, to the same
+    # one; a leader is smaller than those it leads, so that the way ends.
     own = pairs.groupBy("id").agg(F.max(F.struct("n", (-F.col("leader")).alias("less"))).alias("m"))
     family = labels.join(own, "id", "left").select("id", "label", F.coalesce(-F.col("m.less"), "id").alias("family"))
+    family = stored(family, "families")
+    for _ in range(WAY):
+        ahead = family.select(F.col("id").alias("family"), F.col("family").alias("next"))
+        family = family.join(ahead, "family").select("id", "label", F.col("next").alias("family"))
     family = stored(family.join(known, "id"), "families")
     portions_ = family.groupBy("family").agg(F.ceil(F.sum("width") / PORTION).alias("parts"))
     gid = F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("parts")))
