@@ -19,6 +19,8 @@ from stockyard.session import clear_scratch, scratch_folders
 
 # Small sources are repeated this often at most; the largest is used exactly once, so none is cut.
 MOST_EPOCHS = 1.25
+# Near duplicates share this many percent of their shingles of so many words, or more.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -54,8 +56,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_after_the_last
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest identifier stays."""
-    found = group_join.jaccard_components(docs)
+    """Of linked documents the one with the smallest identifier stays. The stage's limit is wider than op2's."""
+    found = group_join.jaccard_components(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT)
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

@@ -79,6 +79,20 @@ def test_stages(spark):
         assert end <= 1024
 
 
+def test_near_duplicates_from_80_percent_of_five_word_shingles_go(spark):
+    """Pairs between this limit and op2's: 20 words appended to 100 (96 of 116), two words changed (86 of 106)."""
+    docs = []
+    for i in range(6):
+        words = [f"w{i}x{j}" for j in range(100)]
+        changed = [f"new{i}x{j}" if j in (30, 70) else w for j, w in enumerate(words)]
+        # 26 words appended (96 of 122) are too many.
+        near = (words + [f"more{i}x{j}" for j in range(20)], changed, words + [f"more{i}x{j}" for j in range(26)])[i % 3]
+        docs += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(near))]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r[0] for r in rows(run_stage(spark, 2, docs))}
+    assert kept == {0, 10, 20, 21, 30, 40, 50, 51}
+
+
 def test_odd_rows_pass_through_all_stages(spark, odd, empty):  # noqa: F811
     for docs in (odd, empty):
         for number in range(len(corpus_pipeline.STAGES)):
