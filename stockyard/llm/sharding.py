@@ -1,10 +1,11 @@
 """Sharding by balanced label propagation.
 
-Linked documents move towards the shard most of their neighbours are in, as long as that shard has
-room. A link joins documents of one group (equal texts, say), so a document's neighbours are its group,
-and what a group needs to know is how many of its documents each shard holds: the state that the
-iterations join and sum is (group, shard, count), at most one row per shard for the largest group.
-Documents without links fill the shards up to sizes at most one apart.
+Linked documents move towards one of the shards that hold their neighbours. A link joins documents of
+one group (equal texts, say), so a document's neighbours are its group, and what a group needs to know
+is how many of its documents each shard holds: the state that the iterations join and sum is
+(group, shard, count), at most one row per shard for the largest group. Moves between shards are
+exchanged in circles, which need no room, and then fill the room there is. Documents without links
+fill the shards up to sizes at most one apart.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from stockyard.llm.common import bits_for, stored, with_running_total
 
 SHARDS = 8
-# Iterations end when nothing moves; the result is whole and even after any number of them.
-ITERATIONS = 12
+# Iterations end when so many in a row have not brought groups closer together: one of either kind.
+STALLED = 2
 
 
 def _loads(parts: DataFrame, shards: int) -> list[int]:
@@ -24,31 +25,104 @@ def _loads(parts: DataFrame, shards: int) -> list[int]:
     return [found.get(s, 0) for s in range(shards)]
 
 
-def propagate(parts: DataFrame, room: list[int], bits: int, iterations: int = ITERATIONS) -> DataFrame:
-    """`parts` (key, shard, n) after moves that bring a group's documents together within `room`."""
+def _circle(wishes: list[list[int]], start: int) -> list[tuple[int, int]]:
+    """The shortest way of wishes from a shard back to it, as pairs of shards, or nothing."""
+    came, ahead = {}, [start]
+    for at in ahead:
+        for to, n in enumerate(wishes[at]):
+            if n and to == start:
+                way = [(at, to)]
+                while at != start:
+                    way.append((came[at], at))
+                    at = came[at]
+                return way
+            if n and to not in came:
+                came[to] = at
+                ahead.append(to)
+    return []
+
+
+def exchanged(wishes: list[list[int]], loads: list[int], room: list[int]) -> list[list[int]]:
+    """How many of the documents that want from one shard to another may move, none beyond its `room`.
+
+    Circles come first, those of two shards before longer ones; then what room is left is filled, from
+    shards that hold too many before others.
+    """
     shards = len(room)
-    for _ in range(iterations):
-        free = [max(0, r - used) for r, used in zip(room, _loads(parts, shards), strict=True)]
-        frees = F.array(*[F.lit(f) for f in free])
-        own = parts.groupBy("key").agg(F.collect_list(F.struct((-F.col("n")).alias("less"), "shard")).alias("all"))
-        seen = parts.join(own, "key")
-        better = F.filter(
-            F.array_sort("all"),
-            lambda x: (F.get(frees, x["shard"]) > 0)
-            & ((x["less"] < -F.col("n")) | ((x["less"] == -F.col("n")) & (x["shard"] < F.col("shard")))),
+    left, loads = [list(row) for row in wishes], list(loads)
+
+    def take(way: list[tuple[int, int]], n: int) -> None:
+        for a, b in way:
+            left[a][b] -= n
+            loads[a] -= n
+            loads[b] += n
+
+    for a in range(shards):
+        for b in range(a):
+            take([(a, b), (b, a)], min(left[a][b], left[b][a]))
+    for a in range(shards):
+        while way := _circle(left, a):
+            take(way, min(left[x][y] for x, y in way))
+    # What is left has no circles, so room that moves make on their way comes to an end.
+    while found := [(loads[a] - room[a], a, b) for a in range(shards) for b in range(shards) if left[a][b] and loads[b] < room[b]]:
+        _, a, b = max(found)
+        over = loads[a] - room[a]
+        n = min(left[a][b], room[b] - loads[b])
+        take([(a, b)], min(n, over) if over > 0 else n)
+    return [[wishes[a][b] - left[a][b] for b in range(shards)] for a in range(shards)]
+
+
+def propagate(parts: DataFrame, room: list[int], bits: int) -> DataFrame:
+    """`parts` (key, shard, n) after moves that bring a group's documents together within `room`.
+
+    Each iteration orders a group's parts, and all want to the first of them: by turns the largest part, or
+    a larger one whose shard has room if there is one, and any part, by a hash that changes and also decides
+    between equal ones. A group that no shard can hold always orders by size. Moves only go to shards that
+    hold some of the group, so a group never has more parts than before.
+    """
+    shards, loads = len(room), _loads(parts, len(room))
+    turn, stalled, least = 0, 0, None
+    while True:
+        by_hash = F.lit(turn % 2 == 1) & (F.col("size") <= min(room))
+        own = parts.groupBy("key").agg(F.sum("n").alias("size"), F.collect_list(F.struct("n", "shard")).alias("all"))
+        own = own.filter(F.size("all") > 1).withColumn("by_hash", by_hash)
+        ordered = F.transform(
+            "all",
+            lambda x: F.struct(
+                F.when(F.col("by_hash"), F.lit(0).cast("long")).otherwise(-x["n"]).alias("less"),
+                F.xxhash64(F.col("key"), x["shard"], F.lit(turn)).alias("draw"),
+                x["shard"].alias("shard"),
+                x["n"].alias("n"),
+            ),
         )
-        wishes = seen.withColumn("to", F.get(better, F.lit(0))["shard"]).filter("to IS NOT NULL")
-        wishes = wishes.select("key", "shard", "to", "n")
-        queued = with_running_total(wishes, ["to"], ["key", "shard"], F.col("n"), bits, "before")
-        allowed = F.greatest(F.lit(0), F.least("n", F.get(frees, F.col("to")) - F.col("before")))
-        moves = stored(queued.withColumn("moved", allowed).filter("moved > 0"), "moves")
-        if moves.isEmpty():
-            break
-        gone = moves.select("key", "shard", (-F.col("moved")).alias("n"))
-        come = moves.select("key", F.col("to").alias("shard"), F.col("moved").alias("n"))
-        changed = parts.unionByName(gone).unionByName(come).groupBy("key", "shard").agg(F.sum("n").alias("n"))
+        own = own.select("key", "by_hash", F.array_sort(ordered).alias("all"))
+        seen = own.select("key", "by_hash", "all", F.posexplode("all").alias("place", "part")).filter("place > 0")
+        has_room = F.array(*[F.lit(used < r) for used, r in zip(loads, room, strict=True)])
+        open_ = F.filter(F.slice("all", 1, F.col("place")), lambda x: ~F.col("by_hash") & F.get(has_room, x["shard"]))
+        to = F.coalesce(F.get(open_, F.lit(0)), F.get("all", F.lit(0)))["shard"]
+        wishes = seen.withColumn("to", to)
+        wishes = stored(wishes.select("key", "part.shard", "to", "part.n"), "wishes")
+        wanted, cut = [[0] * shards for _ in range(shards)], 0
+        for r in wishes.groupBy("shard", "to").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).collect():
+            wanted[r["shard"]][r["to"]] = r["n"]
+            cut += r["parts"]
+        stalled = stalled + 1 if least is not None and cut >= least else 0
+        if not cut or stalled == STALLED:
+            return parts
+        turn, least = turn + 1, cut
+        quotas = exchanged(wanted, loads, room)
+        if not any(map(any, quotas)):
+            continue
+        quota = F.get(F.array(*[F.lit(q) for row in quotas for q in row]), F.col("shard") * shards + F.col("to"))
+        queued = with_running_total(wishes, ["shard", "to"], ["key"], F.col("n"), bits, "before")
+        moved = F.greatest(F.lit(0), F.least("n", quota - F.col("before")))
+        moves = queued.withColumn("moved", moved).filter("moved > 0")
+        gone = F.struct("shard", (-F.col("moved")).alias("n"))
+        come = F.struct(F.col("to").alias("shard"), F.col("moved").alias("n"))
+        moves = moves.select("key", F.explode(F.array(gone, come)).alias("part")).select("key", "part.shard", "part.n")
+        changed = parts.unionByName(moves).groupBy("key", "shard").agg(F.sum("n").alias("n"))
         parts = stored(changed.filter("n > 0"), "labels")
-    return parts
+        loads = [loads[s] + sum(row[s] for row in quotas) - sum(quotas[s]) for s in range(shards)]
 
 
 def sharded(df: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

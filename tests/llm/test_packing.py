@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from stockyard.llm.mixing import budgets, mixed, mixture
 from stockyard.llm.packing import fullest, minimum_slack, packed
-from stockyard.llm.sharding import sharded
+from stockyard.llm.sharding import exchanged, sharded
 from stockyard.llm.tokens import encoder, slow_encoder
 
 SMALL = "/root/testdata/sf0.001/documents.parquet"
@@ -173,3 +173,30 @@ def test_copies_share_shards(spark):
     # 400 rows need three shards of 150.
     assert len(shards[zlib.crc32(b"hot")]) <= 4
     assert sum(len(shards[zlib.crc32(f"text {i}".encode())]) > 1 for i in range(100)) <= 8
+
+
+def test_copies_come_together_where_every_text_has_one(spark):
+    """Without documents that leave room, groups come together by exchange between shards."""
+    rows = [(i, f"pair {i // 2}") for i in range(1600)] + [(2000 + i, f"four {i // 4}") for i in range(1600)]
+    found = sharded(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    check_shards(rows, found, 8)
+    shards = collections.defaultdict(set)
+    for r in found:
+        shards[r["text_crc32"]].add(r["shard"])
+    # Of 1,200 groups.
+    assert len(shards) == 1200 and sum(len(s) > 1 for s in shards.values()) <= 24
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 9), min_size=4, max_size=4), min_size=4, max_size=4), st.lists(st.integers(0, 30), min_size=4, max_size=4))
+def test_exchange_keeps_to_wishes_and_room(wishes, loads):
+    for i in range(4):
+        wishes[i][i] = 0
+    room = [15] * 4
+    moved = exchanged(wishes, loads, room)
+    after = [loads[s] + sum(row[s] for row in moved) - sum(moved[s]) for s in range(4)]
+    assert all(0 <= moved[a][b] <= wishes[a][b] for a in range(4) for b in range(4))
+    assert all(x <= max(r, n) for x, r, n in zip(after, room, loads, strict=True))
+    # Nothing is left that two shards could exchange or a shard has room for.
+    left = [[wishes[a][b] - moved[a][b] for b in range(4)] for a in range(4)]
+    assert not any(left[a][b] and (left[b][a] or after[b] < room[b]) for a in range(4) for b in range(4))
