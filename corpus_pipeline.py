@@ -18,7 +18,7 @@ from stockyard.llm.common import stored, table, tokenizer_path
 from stockyard.session import clear_scratch, scratch_folders
 
 # Small sources are repeated this often at most; the largest is used exactly once, so none is cut.
-MOST_EPOCHS = 1.25
+MOST_EPOCHS = 4.0
 # Near duplicates share this many percent of their shingles of so many words, or more.
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
@@ -64,7 +64,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_after_the_last
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources are drawn towards equal weights; documents of small ones occur up to twice."""
+    """Sources are drawn towards equal weights; documents of small ones occur up to four times."""
     return mixing.mixture(docs, most_epochs=MOST_EPOCHS)
 
 

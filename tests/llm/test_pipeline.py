@@ -93,6 +93,14 @@ def test_near_duplicates_from_80_percent_of_five_word_shingles_go(spark):
     assert kept == {0, 10, 20, 21, 30, 40, 50, 51}
 
 
+def test_mixing_repeats_a_small_source(spark):
+    """A source 100 times smaller than the other is drawn four times, as far as whole documents fit."""
+    docs = [(i, f"{i} " * 50, "en", "large", 0) for i in range(40)] + [(100, "x " * 20, "en", "small", 0)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    used = collections.Counter(r[3] for r in rows(run_stage(spark, 3, docs)))
+    assert used["large"] == 40 and 3 <= used["small"] <= 4
+
+
 def test_odd_rows_pass_through_all_stages(spark, odd, empty):  # noqa: F811
     for docs in (odd, empty):
         for number in range(len(corpus_pipeline.STAGES)):
