@@ -12,6 +12,7 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stockyard.llm import exact_dedup, group_join, mixing, packing, quality_rules
 from stockyard.llm.common import stored, table, tokenizer_path
@@ -56,10 +57,27 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_after_the_last
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest identifier stays. The stage's limit is wider than op2's."""
-    found = group_join.jaccard_components(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of linked documents the one with the smallest identifier stays. The stage's limit is wider than op2's.
+
+    Rows are judged one by one: where identifiers repeat, each row is a document of its own, and of linked
+    rows with the same identifier one stays.
+    """
+    again = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    key = "doc_id"
+    if not again.isEmpty():
+        while key in docs.columns:
+            key = f"_{key}"
+        number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
+        docs = stored(docs.withColumn(key, number), "rows")
+    found = group_join.jaccard_components(docs, NEAR_SHINGLE, NEAR_PERCENT, key)
+    if key == "doc_id":
+        gone = found.filter("doc_id <> component_id").select("doc_id")
+    else:
+        ids = docs.select(F.col(key).alias("doc_id"), F.col("doc_id").alias("own"))
+        first = F.min(F.struct("own", "doc_id"))["doc_id"].alias("doc_id")
+        gone = found.select("doc_id").subtract(found.join(ids, "doc_id").groupBy("component_id").agg(first).select("doc_id"))
+    gone = gone.withColumnRenamed("doc_id", key)
+    return docs.join(gone, key, "left_anti").select(*[c for c in docs.columns if c != key or key == "doc_id"])
 
 
 @_after_the_last

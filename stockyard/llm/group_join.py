@@ -8,8 +8,8 @@ sets of that size, and a few more. The hash of what a set has in one slot is a t
 therefore have equal tokens in some slots: at least one that is not empty, or both sets have so many
 empty slots that those are tokens too. Sets of different sizes share slots by size classes.
 
-*Groups.* Documents that meet in a token have the smallest of them as its leader (first within a task,
-so that a token's row count never exceeds the number of tasks); each is compared with the leaders it met
+*Groups.* Documents that meet in a token have the smallest of them as its leader (first within a portion
+of some MB of text, so that a token's leaders are never more than the portions); each is compared with the leaders it met
 most often. That finds most links. Documents that
 lead to the same document, by the leader each met most often, are a family; its portions of about `PORTION`
 shingles are the groups.
@@ -134,16 +134,16 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int, percent: int)
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(token, id, leader): each token once with its leader among the texts of a batch as id and leader,
-    and once for each other document that has it."""
+    """(token, id, leader): each token once with its leader among the texts of a portion as id and leader,
+    and once for each other document that has it. What is held at a time is bounded by the portion's bytes."""
     slots = Slots(percent)
     for batch in batches:
         data, bounds = text_bytes(batch["text"])
         ids = batch["id"].to_numpy(zero_copy_only=False)
-        keys, of = [], []
         seen: set[bytes] = set()
         for first, last in portions(bounds, TEXT_PER_STEP):
             low, high = bounds[first], bounds[last]
+            keys, of = [], []
             for i, own in enumerate(sets_of(data[low:high], bounds[first : last + 1] - low, shingle), first):
                 # Equal sets are linked without tokens; one of them stands for all in this batch.
                 same = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
@@ -152,16 +152,18 @@ def _tokens(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> It
                     found = slots.tokens(own)
                     keys.append(found)
                     of.append(np.full(len(found), ids[i], np.int64))
-        if not keys:
-            continue
-        key, doc = np.concatenate(keys).view(np.int64), np.concatenate(of)
-        order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key[:0]
-        leader = np.repeat(doc[starts], np.diff(np.append(starts, len(key))))
-        for low in range(0, len(key), 1 << 16):
-            part = slice(low, low + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (key, doc, leader)], ["token", "id", "leader"])
+            if keys:
+                yield from _led(np.concatenate(keys).view(np.int64), np.concatenate(of))
+
+
+def _led(key: np.ndarray, doc: np.ndarray) -> Iterator[pa.RecordBatch]:
+    order = np.lexsort((doc, key))
+    key, doc = key[order], doc[order]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key[:0]
+    leader = np.repeat(doc[starts], np.diff(np.append(starts, len(key))))
+    for low in range(0, len(key), 1 << 16):
+        part = slice(low, low + (1 << 16))
+        yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (key, doc, leader)], ["token", "id", "leader"])
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

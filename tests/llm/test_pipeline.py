@@ -114,3 +114,18 @@ def test_odd_rows_pass_through_all_stages(spark, odd, empty):  # noqa: F811
 def test_run_is_what_its_stages_make(spark):
     found = corpus_pipeline.run(spark, FOLDER)
     assert found.count() > 100 and {"doc_id", "piece", "sequence_id", "offset"} <= set(found.columns)
+
+
+def test_near_duplicates_are_judged_by_row(spark):
+    """Rows of one identifier are documents of their own: an unlinked text stays, of linked ones one does."""
+    base = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"x{i}" for i in range(60))
+    rows = [(4, base), (20, base + " more"), (20, other), (21, other + " end"), (None, base), (30, "alone and short")]
+    rows += [(31, f"{other} a"), (31, f"{other} b")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near(spark, docs.repartition(3), "")
+    assert kept.columns == docs.columns
+    found = sorted((r.doc_id or 0, r.text) for r in kept.collect())
+    assert found == sorted([(0, base), (4, base), (20, other), (30, "alone and short")])
+    once = docs.filter("doc_id IN (4, 30)").unionByName(docs.filter("doc_id = 20").limit(1))
+    assert corpus_pipeline.near(spark, once, "").columns == docs.columns
