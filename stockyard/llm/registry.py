@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from stockyard.llm import exact_dedup, group_join, mixing, packing, personal_data, quality_rules, sharding, sql, substring_dedup, toxicity, url_filter
+from stockyard.llm import exact_dedup, filter_audit, group_join, merkle, mixing, packing, personal_data, quality_rules, sharding, sql, substring_dedup, suffix_dedup, toxicity, url_filter
 from stockyard.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,21 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
 
 
+@register("op11_merkle_manifest", sql.MERKLE)
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified_documents(table(spark, folder, "documents"))
+
+
+@register("op12_suffix_dedup")
+def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.without_repeated_strings(table(spark, folder, "documents"))
+
+
+@register("op13_filter_audit", sql.FILTER_AUDIT)
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
