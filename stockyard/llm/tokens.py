@@ -17,9 +17,9 @@ def _bytes_of_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def _ranks(path: str) -> dict[bytes, int] | None:
-    """The file's vocabulary as ranks of byte strings, if it is plain byte-level BPE numbered in the
-    order of its merges: then either library finds the same ids, and tiktoken several times sooner."""
+def _ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]] | None:
+    """The file's vocabulary as ranks of byte strings, and its added tokens, if it is plain byte-level BPE
+    numbered in the order of its merges: then either library finds the same ids, and tiktoken several times sooner."""
     with open(path, encoding="utf-8") as file:
         told = json.load(file)
     model, before = told["model"], told.get("pre_tokenizer") or {}
@@ -31,20 +31,25 @@ def _ranks(path: str) -> dict[bytes, int] | None:
     pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
     if any(vocabulary["".join(pair)] != 256 + i for i, pair in enumerate(pairs)):
         return None
+    added = told.get("added_tokens") or []
+    if any(token.get(flag) for token in added for flag in ("lstrip", "rstrip", "single_word")):
+        return None
     ordinary = {text: i for text, i in vocabulary.items() if i < 256 + len(pairs)}
-    return {bytes(letters[c] for c in text): i for text, i in ordinary.items()}
+    ranks = {bytes(letters[c] for c in text): i for text, i in ordinary.items()}
+    return ranks, {token["content"]: token["id"] for token in added}
 
 
 @cache
 def encoder(path: str) -> Callable[[str], np.ndarray]:
-    """The ids of a text by the tokenizer in a file, special tokens' strings taken as ordinary text; one
-    encoder for each Python worker."""
-    if ranks := _ranks(path):
+    """The ids of a text by the tokenizer in a file, as `encode` gives them: the string of an added token, such as
+    `<|endoftext|>`, is that token wherever it stands. One encoder for each Python worker."""
+    if found := _ranks(path):
         import public_tokenizers
         import tiktoken
 
-        fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return lambda text: fast.encode_to_numpy(text, disallowed_special=())
+        ranks, added = found
+        fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+        return lambda text: fast.encode_to_numpy(text, allowed_special="all")
     return slow_encoder(path)
 
 
@@ -54,5 +59,4 @@ def slow_encoder(path: str) -> Callable[[str], np.ndarray]:
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
     return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)

@@ -20,9 +20,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def tokenizer():
-    own = Tokenizer.from_file(PATH)
-    own.encode_special_tokens = True
-    return own
+    return Tokenizer.from_file(PATH)
 
 
 @settings(max_examples=60, deadline=None)

@@ -62,7 +62,6 @@ def test_stages(spark):
 
     packed = run_stage(spark, 4, drawn).collect()
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     expected = collections.Counter()
     for r in rows(drawn):
         expected[r[0]] += len(own.encode(r[1], add_special_tokens=False).ids) + 1
