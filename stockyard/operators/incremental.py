@@ -15,14 +15,23 @@ def high_water_mark(target: DataFrame, column: str = "ingestion_date"):
     return target.agg(F.max(column)).first()[0]
 
 
-def newer_than(df: DataFrame, mark, column: str = "ingestion_date") -> DataFrame:
-    """Rows strictly after the mark (a moment or its text); without one (first load) all rows.
+def newer_than(df: DataFrame, mark, column: str = "ingestion_date", upto: bool = False) -> DataFrame:
+    """Rows strictly after the mark (a moment or its text); without one (first load) all rows. With `upto`,
+    those up to the mark instead.
 
     The mark is a literal, so the comparison reaches the file scan.
     """
     if mark is None:
         return df
-    return df.filter(F.col(column) > F.lit(mark).cast(df.schema[column].dataType))
+    moment = F.lit(mark).cast(df.schema[column].dataType)
+    return df.filter(F.col(column) <= moment if upto else F.col(column) > moment)
+
+
+def with_keys(df: DataFrame, keyed: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows of `df` whose keys are (or with "left_anti" are not) among those of `keyed`; NULLs are equal."""
+    wanted = keyed.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return df.join(wanted, same, how)
 
 
 def latest_by_key(

@@ -10,17 +10,21 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 
 
-# Sizes measured by this process, by application and plan. A table that has changed has another plan if
-# its files have; a size that has grown stale costs a shuffle or a larger broadcast, never rows.
-_sizes: dict[tuple[str, int], tuple[int, int]] = {}
+# Sizes measured by this process, by application, plan, the files it reads and their bytes: what has grown is
+# measured again.
+_sizes: dict[tuple, tuple[int, int]] = {}
 
 
 def measured_size(df: DataFrame) -> tuple[int, int]:
-    """Rows and approximate bytes, from one aggregate over the table, measured once per plan."""
-    known = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
-    if known not in _sizes:
-        _sizes[known] = _measure(df)
-    return _sizes[known]
+    """Rows and approximate bytes, from one aggregate over the table, measured once per state of its files."""
+    files = df.inputFiles()
+    if not files:
+        return _measure(df)
+    size = str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    state = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), size, *sorted(files))
+    if state not in _sizes:
+        _sizes[state] = _measure(df)
+    return _sizes[state]
 
 
 def _measure(df: DataFrame) -> tuple[int, int]:

@@ -5,13 +5,15 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Iterable
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockyard.operators.joins import sized
+
 # CSV cell texts that mean "no value".
 MISSING_CELLS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -30,17 +32,43 @@ def plain_path(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def _headers(spark: SparkSession, paths: str | list[str]) -> dict[str, list[str]]:
-    """The files by their first line. A split of a file is read in order by one task, so the first row
-    of its first split is that line; files without any line have none."""
-    lines = spark.read.text(paths).select(
-        plain_path(F.col("_metadata.file_path")).alias("path"), "_metadata.file_block_start", "value"
-    )
-    first = lines.filter("file_block_start = 0").groupBy("path").agg(F.first("value").alias("header"))
-    found: dict[str, list[str]] = {}
-    for row in first.orderBy("path").toLocalIterator():
-        found.setdefault(row.header, []).append(row.path)
-    return found
+# Bytes of a file in which its first line is looked for at first, and files looked at together.
+HEADER_BYTES, AT_ONCE = 1 << 16, 16
+
+
+def _header(spark: SparkSession, path: str) -> list[str] | None:
+    """The names in a file's first line, from its first bytes; None for a file without any line."""
+    jvm, size = spark._jvm, HEADER_BYTES
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    while True:
+        stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
+        try:
+            found = bytes(stream.readNBytes(size))
+        finally:
+            stream.close()
+        whole = len(found) < size
+        lines = found.decode("utf-8-sig", "replace").splitlines(keepends=True)
+        for row in csv.reader(lines if whole else lines[:-1]):
+            if row:
+                return [n.strip().lower() for n in row]
+        if whole:
+            return None
+        size *= 16
+
+
+# What a file's address begins with; it may be written with one slash or three.
+_SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
+
+
+def _layouts(spark: SparkSession, paths: list[str], schema: T.StructType) -> dict[str, list[str]]:
+    """The columns of each file, in its order. Unknown ones are refused, and those named twice."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        found = dict(zip(paths, pool.map(lambda p: _header(spark, p), paths), strict=True))
+    for names in {tuple(n) for n in found.values() if n}:
+        refuse_unknown(names, schema)
+        if len(set(names)) < len(names):
+            raise ValueError(f"a column is named twice: {list(names)}")
+    return {re.sub(_SCHEME, r"\1:/", path): names for path, names in found.items() if names}
 
 
 def _read_csv(
@@ -49,38 +77,44 @@ def _read_csv(
 ) -> DataFrame:
     """CSV files with a header. With a schema, columns are found by the header's names (in any order and
     case); absent ones are NULL, and files with unknown ones are refused. A cell that does not fit its type
-    fails the query.
+    fails the query, and so does a cell beyond the header; cells that a row lacks are NULL.
 
-    Cells are read as text and cast, so that the usual spellings of a missing value become NULL
-    and anything else unreadable is not silently dropped. `multi_line` admits line breaks inside
-    quotes, at the price of one task per file. Files are grouped by header first, which reads them as
-    lines once.
+    All files are one scan, however many layouts they have: cells are read by position, and a map from
+    a file to the positions of its columns, made from the files' first bytes, says which is which. Cells
+    are read as text and cast, so that the usual spellings of a missing value become NULL and anything else
+    unreadable is not silently dropped. `multi_line` admits line breaks inside quotes, at the price of one
+    task per file.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is None:
         return reader.option("inferSchema", True).csv(paths)
-    parts = []
-    for header, files in _headers(spark, paths).items():
-        names = [n.strip().lower() for n in next(csv.reader([header.lstrip("\ufeff")]))]
-        refuse_unknown(names, schema)
-        if len(set(names)) < len(names):
-            raise ValueError(f"a column is named twice: {names}")
-        cells = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        read = reader.option("mode", "FAILFAST").schema(cells).csv([literal_path(f) for f in files])
-        parts.append(
-            read.select(
-                *[
-                    F.when(~F.col(f.name).isin(*MISSING_CELLS), F.col(f.name)).cast(f.dataType).alias(f.name)
-                    if f.name in names
-                    else F.lit(None).cast(f.dataType).alias(f.name)
-                    for f in _lower(schema)
-                ],
-                F.col("_metadata.file_path").alias(FILE),
-            )
-        )
-    if not parts:
-        return spark.createDataFrame([], T.StructType([*_lower(schema), T.StructField(FILE, T.StringType())]))
-    return reduce(DataFrame.unionByName, parts)
+    layouts = _layouts(spark, reader.schema("cell string").csv(paths).inputFiles(), schema)
+    fields = _lower(schema)
+    if not layouts:
+        return spark.createDataFrame([], T.StructType([*fields, T.StructField(FILE, T.StringType())]))
+    # One more than any file has, so that a cell too many is seen.
+    width = max(map(len, layouts.values())) + 1
+    scan = reader.schema(T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(width)])).csv(paths)
+    address = F.col("_metadata.file_path")
+    cells = scan.select(
+        F.array(*scan.columns).alias("cells"), address.alias(FILE), F.regexp_replace(address, _SCHEME, "$1:/").alias("address")
+    )
+    places = [
+        (path, [names.index(f.name) if f.name in names else None for f in fields], len(names))
+        for path, names in layouts.items()
+    ]
+    known = spark.createDataFrame(places, "address string, places array<int>, width int")
+    placed = cells.join(sized(known), "address")
+    beyond = F.exists(F.slice("cells", F.col("width") + 1, width), lambda c: c.isNotNull())
+    wrong = F.concat(F.lit("a cell beyond the header in "), F.col(FILE))
+    held = F.when(beyond, F.raise_error(wrong).cast("array<string>")).otherwise(F.col("cells"))
+    picked = placed.select(held.alias("cells"), "places", FILE)
+
+    def cell(i: int, field: T.StructField) -> Column:
+        text = F.get("cells", F.get("places", F.lit(i)))
+        return F.when(~text.isin(*MISSING_CELLS), text).cast(field.dataType).alias(field.name)
+
+    return picked.select(*[cell(i, f) for i, f in enumerate(fields)], FILE)
 
 
 def _lower(schema: T.StructType) -> list[T.StructField]:
@@ -93,22 +127,43 @@ def refuse_unknown(names: Iterable[str], schema: T.StructType) -> None:
         raise ValueError(f"columns not in the raw table: {sorted(unknown)}")
 
 
+def _typed(value: Column, kind: T.DataType) -> Column:
+    """A JSON value (VARIANT) as a column; of an object, every field must be known, at any depth."""
+    if not isinstance(kind, T.StructType):
+        return value.cast(kind)
+    return _record(value.cast("map<string,variant>"), kind)
+
+
+def _record(fields: Column, schema: T.StructType) -> Column:
+    """An object's fields (a map from names to values) as a struct; its names are compared in lower case."""
+    lower = F.transform_keys(fields, lambda name, _: F.lower(name))
+    known = F.array(*[F.lit(f.name.lower()) for f in schema.fields])
+    unknown = F.array_except(F.map_keys(lower), known)
+    told = F.concat(F.lit("fields not in the raw table: "), F.array_join(F.array_sort(unknown), ", "))
+    checked = F.when(F.size(unknown) > 0, F.raise_error(told).cast("map<string,variant>")).otherwise(lower)
+    values = [_typed(F.get(F.array(F.element_at(checked, f.name.lower())), F.lit(0)), f.dataType).alias(f.name) for f in schema.fields]
+    return F.when(fields.isNotNull(), F.struct(*values))
+
+
 def _read_json(
     spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None
 ) -> DataFrame:
     """JSON files holding an array of records or one single record each; one task per file.
 
-    With a schema, absent fields are NULL and unknown ones are refused, for which all files are looked
-    through once more.
+    With a schema, absent fields are NULL and unknown ones fail the query, nested ones too. That takes one
+    scan: objects are read as maps, so that their names are data, and values as VARIANT, to be cast.
     """
-    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     if schema is None:
-        return reader.json(paths)
+        return spark.read.option("multiLine", True).option("mode", "FAILFAST").json(paths)
     # Names of folders are no columns.
-    reader = reader.option("recursiveFileLookup", True)
-    refuse_unknown(reader.option("primitivesAsString", True).json(paths).schema.names, schema)
-    found = reader.schema(schema).json(paths)
-    return found.select(*schema.names, F.col("_metadata.file_path").alias(FILE))
+    texts = spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
+    whole = texts.select("value", F.col("_metadata.file_path").alias(FILE)).filter("trim(value) <> ''")
+    many = F.from_json("value", "array<map<string,variant>>")
+    one = F.array_compact(F.array(F.from_json("value", "map<string,variant>")))
+    records = F.coalesce(many, F.when(F.size(one) > 0, one))
+    wrong = F.raise_error(F.concat(F.lit("no JSON record or array of records in "), F.col(FILE)))
+    read = whole.select(F.explode(F.coalesce(records, wrong.cast("array<map<string,variant>>"))).alias("fields"), FILE)
+    return read.select(_record(F.col("fields"), schema).alias("record"), FILE).select("record.*", FILE)
 
 
 def read_csv(

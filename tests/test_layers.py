@@ -1,5 +1,6 @@
 """A whole run over catalog tables: first load, increment, late dimension, full refresh, gates."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -9,7 +10,8 @@ from stockyard.operators.quality import ChecksFailed
 from stockyard.plans.adapter import Source
 from stockyard.plans.layers import Run
 from stockyard.operators.incremental import without_key
-from stockyard.plans.models import Views
+from stockyard.plans import layers
+from stockyard.plans.models import MODELS, Views
 from stockyard.sources import tables
 
 FOLDER, AS_OF = "/root/testdata/sf0.001", "2024-01-01"
@@ -97,56 +99,178 @@ def sales(spark, values):
 
 
 def part_files(spark, name):
-    state = tables.state_of(spark, name)
-    read = spark.read.parquet(state.folder).filter(F.col(tables.PART).isin(*state.parts))
-    files = read.select(tables.PART, F.col("_metadata.file_path").alias("f")).distinct().collect()
-    return {(r[tables.PART], r.f) for r in files}
+    read = spark.table(name).select(tables.PART, F.col("_metadata.file_path").alias("f")).distinct()
+    return {(r[tables.PART], r.f) for r in read.collect()}
 
 
-def test_an_upsert_leaves_other_buckets_alone(spark):
-    name, keys = "parts.upserted", ["k"]
-    first = sales(spark, [(f"k{i}", i, 1) for i in range(200)])
-    tables.publish(first, name, keys, 16, "ingestion_date")
-    before = part_files(spark, name)
-    for day, key in ((2, "k3"), (3, "new"), (4, "k3")):
-        batch = sales(spark, [(key, 1000 + day, day)])
-        buckets = [r[0] for r in batch.select(tables.bucket_of(batch, keys, 16)).collect()]
-        rest = tables.touched(spark, name, buckets).join(batch.select("k"), "k", "left_anti")
-        tables.replace_buckets(rest.unionByName(batch), name, keys, buckets, "ingestion_date")
-    after = part_files(spark, name)
-    assert len({p for p, _ in before - after}) == 2 and len(after) <= 17
-    found = {r.k: r.v for r in spark.table(name).collect()}
-    assert len(found) == 201 and found["k3"] == 1004 and found["new"] == 1003
-    assert tables.published_mark(spark, name, "ingestion_date").startswith("2024-01-04")
+def held(spark, name):
+    return {r.k: r.v for r in tables.read_table(spark, name).collect()}
 
 
-def test_publishing_goes_on_after_a_job_died(spark):
-    """Rows of a dead attempt are never read; a failed rebuild leaves the table as it was."""
+def test_an_upsert_rewrites_only_parts_that_hold_its_keys(spark):
+    """New keys in a range that the table covers rewrite nothing, by the filters; replaced ones their parts."""
+    name, n = "parts.upserted", 6000
+    tables.publish(sales(spark, [(f"k{2 * i:06}", i, 1) for i in range(n)]), name, ["k"], 300, "ingestion_date")
+    before = part_files(spark, name)
+    assert len(before) == 300
+    new = sales(spark, [(f"k{2 * i + 1:06}", -i, 2) for i in range(0, n, 100)])
+    tables.upsert_into(new, name, ["k"], ["ingestion_date"])
+    after = part_files(spark, name)
+    assert before < after and len({p for p, _ in after - before}) == 1
+    assert tables.published_mark(spark, name).startswith("2024-01-02")
+    some = sales(spark, [("k000002", 900, 3), ("k000002", 901, 4), ("k000201", 902, 3), ("k000103", 903, 3), ("zz", 904, 3)])
+    tables.upsert_into(some, name, ["k"], ["ingestion_date"])
+    last = part_files(spark, name)
+    assert len({p for p, _ in before - last}) == 1 and len(last - after) == 3 and len(after - last) == 2
+    found = held(spark, name)
+    assert (found["k000002"], found["k000201"], found["k000103"], found["zz"]) == (901, 902, 903, 904)
+    assert tables.read_table(spark, name).count() == len(found) == n + n // 100 + 2
+    assert tables.published_mark(spark, name).startswith("2024-01-04")
+
+
+def test_filters_lose_no_key(spark):
+    rows = sales(spark, [(f"k{i}", i, 1) for i in range(3000)])
+    tables.publish(rows, "parts.filtered", ["k"], 16, "ingestion_date")
+    parts, found = tables.parts_with(spark, "parts.filtered", rows.filter("v % 7 = 0"), ["k"])
+    assert len(parts) == 16 and found.count() == 429
+    nobody = sales(spark, [(f"k{i}x", i, 1) for i in range(2000)])
+    words = int(spark.sql("SHOW TBLPROPERTIES parts.filtered ('words')").first().value)
+    asked = nobody.select(tables._word(["k"], words), tables._mask(["k"]))
+    sketch = spark.table("parts.filtered__sketch").filter("word >= 0")
+    assert sketch.join(asked, "word").filter("bits & mask = mask").count() < 60
+
+
+def test_partitions_without_a_sketch_are_sketched_first(spark):
+    """A writer that died between its rows and their sketch: the mark and the keys are found all the same."""
+    name = "parts.unsketched"
+    tables.publish(sales(spark, [("a", 1, 1)]), name, ["k"], 4, "ingestion_date")
+    tables._put(sales(spark, [("b", 2, 5)]).withColumn(tables.PART, F.lit("n-dead")), name)
+    assert tables.published_mark(spark, name).startswith("2024-01-05")
+    tables.upsert_into(sales(spark, [("b", 3, 6)]), name, ["k"], ["ingestion_date"])
+    assert held(spark, name) == {"a": 1, "b": 3}
+
+
+def test_two_writers(spark):
+    """Additions at the same time are all kept; a second writer that replaces rows fails and changes nothing."""
+    name = "parts.contended"
+    tables.publish(sales(spark, [(f"k{i}", i, 1) for i in range(100)]), name, ["k"], 4, "ingestion_date")
+    batches = [sales(spark, [(f"{w}{i}", i, 2) for i in range(20)]) for w in "abc"]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda b: tables.append(b, name), batches))
+    assert len(held(spark, name)) == 160
+    change = sales(spark, [("k1", 1000, 3)])
+    with tables.alone(spark, name):
+        tables.append(sales(spark, [("d", 1, 3)]), name)
+        for write in (
+            lambda: tables.upsert_into(change, name, ["k"], ["ingestion_date"]),
+            lambda: tables.publish(change, name, ["k"]),
+            lambda: tables.replace_keys(change, name, ["k"], change),
+        ):
+            with pytest.raises(tables.TableInUse):
+                write()
+    assert len(held(spark, name)) == 161 and held(spark, name)["k1"] == 1
+    tables.upsert_into(change, name, ["k"], ["ingestion_date"])
+    assert held(spark, name)["k1"] == 1000
+    # The lock of a writer that died is removed by hand.
+    path, files = tables._lock(spark, name)
+    files.create(path, False).close()
+    with pytest.raises(tables.TableInUse):
+        tables.write_table(change, name)
+    tables.release(spark, name)
+    tables.compact(spark, name)
+    assert len(held(spark, name)) == 161 and all(p[0] != tables.ADDED for p in tables.parts_of(spark, name))
+
+
+def test_writing_goes_on_after_a_job_died(spark):
+    """A failed write leaves the table as it was and nothing in the way of the next one."""
     name = "parts.crashed"
     tables.publish(sales(spark, [("a", 1, 1)]), name, ["k"], 4, "ingestion_date")
-    folder = tables.state_of(spark, name).folder
-    sales(spark, [("dead", 9, 9)]).write.parquet(f"{folder}/{tables.PART}=00000-dead")
-    assert [r.k for r in spark.table(name).collect()] == ["a"]
-    broken = sales(spark, [("b", 2, 2)]).withColumn("v", F.raise_error(F.lit("broken")).cast("int"))
-    for write in (lambda: tables.publish(broken, name, ["k"], 4), lambda: tables.write_table(broken, name)):
+    broken = sales(spark, [("a", 2, 2)]).withColumn("v", F.raise_error(F.lit("broken")).cast("int"))
+    for write in (
+        lambda: tables.publish(broken, name, ["k"], 4), lambda: tables.write_table(broken, name),
+        lambda: tables.append(broken, name), lambda: tables.upsert_into(broken, name, ["k"], ["ingestion_date"]),
+    ):
         with pytest.raises(Exception, match="broken"):
             write()
-        assert [r.k for r in spark.table(name).collect()] == ["a"]
+        assert held(spark, name) == {"a": 1}
     tables.publish(sales(spark, [("b", 2, 2)]), name, ["k"], 4, "ingestion_date")
-    assert [r.k for r in spark.table(name).collect()] == ["b"]
-    tables.write_table(sales(spark, []), name)
-    assert spark.table(name).count() == 0 and spark.table(name).columns == ["k", "v", "ingestion_date"]
+    assert held(spark, name) == {"b": 2}
+    tables.write_table(sales(spark, []), "parts.empty")
+    assert held(spark, "parts.empty") == {} and spark.table("parts.empty").columns == ["k", "v", "ingestion_date"]
+
+
+def test_new_columns_are_taken_in(spark):
+    name = "parts.widened"
+    tables.publish(sales(spark, [("a", 1, 1), ("b", 2, 1)]), name, ["k"], 4, "ingestion_date")
+    tables.append(sales(spark, [("c", 3, 2)]).withColumn("brand", F.lit("x")), name)
+    tables.upsert_into(sales(spark, [("a", 5, 3)]).withColumn("brand", F.lit("y")), name, ["k"], ["ingestion_date"])
+    tables.append(sales(spark, [("d", 4, 4)]), name)
+    found = {r.k: (r.v, r.brand) for r in tables.read_table(spark, name).collect()}
+    assert found == {"a": (5, "y"), "b": (2, None), "c": (3, "x"), "d": (4, None)}
+
+
+def test_rows_of_stale_keys_are_replaced(spark):
+    """Keys may be NULL or repeated; a partition that loses all its rows goes."""
+    name = "parts.stale"
+    tables.publish(sales(spark, [("a", 1, 1), ("b", 2, 1), (None, 3, 1), (None, 4, 1)]), name, ["k"], 1, "ingestion_date")
+    tables.append(sales(spark, [("c", 5, 2)]), name)
+    stale = spark.createDataFrame([("a",), (None,), ("c",)], "k string")
+    tables.replace_keys(sales(spark, [("a", 9, 1), (None, 8, 1)]), name, ["k"], stale)
+    assert sorted((r.k or "", r.v) for r in tables.read_table(spark, name).collect()) == [("", 8), ("a", 9), ("b", 2)]
+    assert len(tables.parts_of(spark, name)) == 2
 
 
 def test_closed_versions_stay_where_they_are(spark):
     name, closed = "parts.history", F.col("v") > 0
     tables.publish_history(sales(spark, [("a", 0, 1), ("b", 5, 1)]), name, closed)
-    before = {f for p, f in part_files(spark, name) if p.startswith(tables.APPENDED)}
+    before = {f for p, f in part_files(spark, name) if p != tables.OPEN}
     assert [r.k for r in tables.open_rows(spark, name).collect()] == ["a"]
     tables.publish_history(sales(spark, [("a", 7, 2), ("a", 0, 2)]), name, closed)
-    after = {f for p, f in part_files(spark, name) if p.startswith(tables.APPENDED)}
+    after = {f for p, f in part_files(spark, name) if p != tables.OPEN}
     assert before < after
     assert sorted(r.v for r in spark.table(name).collect()) == [0, 5, 7]
+    tables.publish_history(sales(spark, [("a", 9, 3)]), name, closed)
+    assert tables.open_rows(spark, name).count() == 0 and spark.table(name).count() == 3
+
+
+def test_late_dimensions_change_what_a_full_refresh_changes(spark, source, monkeypatch):
+    """A product and a store that come late, one that changes, one that goes: no rebuild, same rows."""
+    monkeypatch.setattr(Run, "check", lambda self, layer: None)
+    rewritten = []
+
+    def raw(late):
+        def table(name):
+            df = up_to(source, CUT)(name)
+            if name == "products":
+                key = F.upper(F.trim("product_id"))
+                df = df.filter(key != ("PROD-000000000009" if late else "PROD-000000000011"))
+                changed = (key == "PROD-000000000007") & F.lit(late)
+                df = df.withColumn("product_name", F.when(changed, "New name").otherwise(F.col("product_name")))
+            if name == "stores" and not late:
+                df = df.filter(F.upper("store_id") != "STORE-000000000004")
+            return df
+
+        return table
+
+    names = [m.name for m in MODELS.values() if m.layer == "intermediate" and m.kept == "incremental"]
+    staging = [m.name for m in MODELS.values() if m.layer == "staging"]
+    for late in (False, True):
+        job = Run(spark, raw(late), AS_OF, datetime(2024, 1, 1), buckets=4, prefix="late_", late_dimensions=True)
+        if late:
+            replace = layers.replace_keys
+            monkeypatch.setattr(layers, "replace_keys", lambda r, n, k, s: (rewritten.append((n, s.count())), replace(r, n, k, s)))
+        job.make(*staging, *names)
+    facts = job.tables["stg_transactions"].count()
+    assert {n.split(".")[1] for n, _ in rewritten} == set(names)
+    assert all(0 < n < facts / 5 for name, n in rewritten if "transactions" in name)
+    found = {name: rows(job.tables[name]) for name in names}
+    rewritten.clear()
+    job.make(names[1])
+    assert not rewritten
+    job.full_refresh = True
+    job.make(*names)
+    for name in names:
+        assert found[name] == rows(job.tables[name]), name
 
 
 def test_rows_with_an_unknown_id_all_stay(spark, source, monkeypatch):

@@ -1,6 +1,7 @@
 """File scans, landing, ledger, streaming load, relational options and catalog tables."""
 
 from datetime import datetime
+from itertools import permutations
 from pathlib import Path
 
 import pytest
@@ -123,8 +124,52 @@ def test_unknown_json_fields_are_refused(spark, folder):
     write(f"{folder}/a.json", '[{"a": 1}]')
     assert rows(files.read_json(spark, folder, schema)) == [(1, None)]
     write(f"{folder}/b.json", '[{"a": 1, "colour": "red"}]')
-    with pytest.raises(ValueError, match="colour"):
-        files.read_json(spark, folder, schema)
+    with pytest.raises(Exception, match="fields not in the raw table: colour"):
+        files.read_json(spark, folder, schema).collect()
+    nested = T.StructType.fromDDL("a bigint, place struct<city string, code int>, tags array<string>")
+    write(f"{folder}/n/a.json", '[{"a": 1, "place": {"City": "Lagos", "code": 7}, "tags": ["x", "y"]}, {"A": 2, "place": null}]')
+    assert rows(files.read_json(spark, f"{folder}/n", nested)) == rows(
+        spark.createDataFrame([(1, ("Lagos", 7), ["x", "y"]), (2, None, None)], nested)
+    )
+    write(f"{folder}/n/b.json", '{"place": {"city": "Kano", "mayor": "n"}}')
+    with pytest.raises(Exception, match="fields not in the raw table: mayor"):
+        files.read_json(spark, f"{folder}/n", nested).collect()
+    write(f"{folder}/bad/a.json", '[{"a": 1}, {"a":')
+    with pytest.raises(Exception, match="no JSON record"):
+        files.read_json(spark, f"{folder}/bad", schema).collect()
+
+
+def scans(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("Relation [")
+
+
+def test_one_scan_whatever_the_layouts(spark, folder, monkeypatch):
+    """Forty orders of columns, cells that rows lack or have too many, a quoted header, a byte-order mark."""
+    schema = T.StructType.fromDDL("a bigint, b string, c string, d string, e string")
+    expected = []
+    for i, order in enumerate(list(permutations("abcde"))[:40]):
+        names = order[: 2 + i % 4] if "a" in order[: 2 + i % 4] else (*order[:2], "a")
+        cells = {n: str(i) if n == "a" else f"{n}{i}" for n in names}
+        text = ",".join(f'"{n.upper()}"' for n in names) + "\n" + ",".join(cells[n] for n in names) + "\n"
+        write(f"{folder}/many/f {i}%.csv", ("\ufeff" if i % 5 == 0 else "") + text)
+        expected.append(tuple(int(cells[n]) if n == "a" and n in cells else cells.get(n) for n in "abcde"))
+    found = files.read_csv(spark, f"{folder}/many", schema)
+    assert rows(found) == sorted(expected, key=repr)
+    assert scans(found) == 1
+    write(f"{folder}/json/a.json", '[{"a": 1}]')
+    assert scans(files.read_json(spark, f"{folder}/json", T.StructType.fromDDL("a bigint"))) == 1
+    write(f"{folder}/short/a.csv", "a,b,c\n1,x\n")
+    write(f"{folder}/short/b.csv", "b\ny\n")
+    assert rows(files.read_csv(spark, f"{folder}/short", schema)) == rows(
+        spark.createDataFrame([(1, "x", None, None, None), (None, "y", None, None, None)], schema)
+    )
+    write(f"{folder}/short/c.csv", "b,c\ny,z,w\n")
+    with pytest.raises(Exception, match="a cell beyond the header"):
+        files.read_csv(spark, f"{folder}/short", schema).collect()
+    monkeypatch.setattr(files, "HEADER_BYTES", 8)
+    write(f"{folder}/long/a.csv", "a,b,c,d,e" + " " * 300 + "\n1,2,3,4,5\n")
+    assert rows(files.read_csv(spark, f"{folder}/long", schema)) == [(1, "2", "3", "4", "5")]
 
 
 def test_files_of_equal_names_all_land(spark, folder):
@@ -335,13 +380,13 @@ def test_published_versions(spark):
     assert tables.read_table(spark, name) is None
     tables.publish(spark.createDataFrame([(1, "a")], "k int, v string"), name, ["k"], 2)
     for n in (2, 3):
-        grown = spark.table(name).unionByName(spark.createDataFrame([(n, "b")], "k int, v string"))
+        grown = tables.read_table(spark, name).unionByName(spark.createDataFrame([(n, "b")], "k int, v string"))
         tables.publish(grown, name, ["k"], 2)
     assert rows(tables.read_table(spark, name)) == [(1, "a"), (2, "b"), (3, "b")]
-    tables.publish(spark.table(name), name, ["k"], 2, marked="k")
-    assert tables.published_mark(spark, name, "k") == "3"
-    tables.publish(spark.table(name).limit(0), name, ["k"], marked="k")
-    assert tables.published_mark(spark, name, "k") is None
+    tables.publish(tables.read_table(spark, name), name, ["k"], 2, marked="k")
+    assert tables.published_mark(spark, name) == "3"
+    tables.publish(tables.read_table(spark, name).limit(0), name, ["k"], marked="k")
+    assert tables.published_mark(spark, name) is None
     tables.write_table(spark.range(2), "shop.copy")
     tables.write_table(spark.range(3), "shop.copy")
     assert spark.table("shop.copy").count() == 3
