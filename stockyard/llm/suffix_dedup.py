@@ -270,7 +270,8 @@ def _spans_of(runs: DataFrame, texts: DataFrame, reps: DataFrame, length: int, w
     def beside_texts(chosen: DataFrame) -> DataFrame:
         asked = chosen.groupBy(F.col("one.doc").alias("doc")).agg(F.collect_list(run).alias("asked"))
         asked = stored(asked.join(reps, "doc"), "asked")
-        return texts.join(asked, ["doc", "id"]).select("doc", "text", "asked")
+        # Asked documents are a share of all, so they are no broadcast however few they are here.
+        return texts.join(asked.hint("merge"), ["doc", "id"]).select("doc", "text", "asked")
 
     contents = beside_texts(members.filter(F.col("members") <= MOST)).mapInArrow(partial(_contents, length=length), CONTENTS)
     ordered = contents.repartition("key").sortWithinPartitions("key", "digest")
@@ -332,6 +333,6 @@ def without_repeated_strings(
     spans = _spans_of(stored(runs, "runs"), texts, reps, length, WIDTHS)
     gone = spans.groupBy("doc").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     gone = stored(gone, "gone")
-    beside = docs.select("id", "text", name).join(gone, "doc", "left").select("id", "text", "spans")
+    beside = docs.select("id", "text", name).join(gone.hint("merge"), "doc", "left").select("id", "text", "spans")
     kinds = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return beside.mapInArrow(_cut, kinds)
