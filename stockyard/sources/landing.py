@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from datetime import datetime
 from itertools import islice
@@ -144,17 +145,26 @@ def to_stored(df: DataFrame, schema: T.StructType) -> DataFrame:
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A raw table with its load stamp; empty before its first load."""
     stored = T.StructType([*schema.fields]).add("ingestion_date", T.TimestampNTZType())
-    return read_if_exists(spark, path, stored.add("load_day", T.DateType())).drop("load_day")
+    stored = stored.add("load_day", T.DateType()).add("load", T.StringType())
+    return read_if_exists(spark, path, stored).drop("load_day", "load")
+
+
+def holds_load(spark: SparkSession, path: str, load: str) -> bool:
+    """Whether a raw table holds the rows of a load, by the folder they lie in."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/load_day=*/load={load}")
+    return bool(place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place))
 
 
 def append_new(
     batch: DataFrame, path: str, schema: T.StructType, null_safe: bool = True,
     file_column: str | None = None, now: Column | None = None, prune_on: str | None = None,
+    load: str | None = None,
 ) -> None:
-    """Insert the batch rows the raw table lacks, under one load stamp, partitioned by load day.
+    """Insert the batch rows the raw table lacks, under one load stamp, partitioned by load day and load.
 
     The table is read only where it could hold the batch's rows: between the batch's extremes of
-    `prune_on`, by default the extraction time.
+    `prune_on`, by default the extraction time. The rows come into the table by one move of the load's
+    folder, when all are written; loads at the same time have folders of their own.
     """
     extracted = [c for c in schema.names if c.endswith("_extraction_date")]
     prune_on = prune_on or (extracted[0] if extracted else None)
@@ -162,9 +172,9 @@ def append_new(
     held = read_raw(batch.sparkSession, path, schema).select(*schema.names)
     fresh = new_rows(held, batch, null_safe, file_column, prune_on)
     stamp = load_stamp(now)
-    fresh.withColumns({"ingestion_date": stamp, "load_day": stamp.cast("date")}).write.mode(
-        "append"
-    ).partitionBy("load_day").parquet(path)
+    named = {"ingestion_date": stamp, "load_day": stamp.cast("date"), "load": F.lit(load or uuid.uuid4().hex)}
+    writer = fresh.withColumns(named).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("load_day", "load").parquet(path)
 
 
 def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
