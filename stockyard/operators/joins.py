@@ -36,11 +36,18 @@ def _measure(df: DataFrame) -> tuple[int, int]:
     return rows, size or 0
 
 
+def is_small(df: DataFrame, max_bytes: int | None = None, max_rows: int | None = None) -> bool:
+    """Whether a table is measured to be within the bounds of a broadcast."""
+    rows, size = measured_size(df)
+    most_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    return rows <= most_rows and size <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
+
+
 def sized(
     lookup: DataFrame,
     measured: DataFrame | None = None,
-    max_bytes: int = BROADCAST_BYTES,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """The lookup with a broadcast hint if it is measured to be small, else unchanged.
 
@@ -50,5 +57,5 @@ def sized(
     bounds the join shuffles and adaptive execution splits hot key partitions. The hint survives
     column selection, so one measured lookup serves several joins.
     """
-    rows, size = measured_size(lookup if measured is None else measured)
-    return F.broadcast(lookup) if rows <= max_rows and size <= max_bytes else lookup
+    small = is_small(lookup if measured is None else measured, max_bytes, max_rows)
+    return F.broadcast(lookup) if small else lookup

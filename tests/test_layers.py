@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from stockyard.operators.quality import ChecksFailed
 from stockyard.plans.adapter import Source
 from stockyard.plans.layers import Run
+from stockyard.operators import enrich, incremental, joins
 from stockyard.operators.incremental import without_key
 from stockyard.plans import layers
 from stockyard.plans.models import MODELS, Views
@@ -233,6 +234,39 @@ def test_closed_versions_stay_where_they_are(spark):
     assert tables.open_rows(spark, name).count() == 0 and spark.table(name).count() == 3
 
 
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_facts_and_large_lookups_join_where_they_lie(spark, source, monkeypatch):
+    """Beyond the broadcast bound, no exchange on either side; the rows are those of any other run."""
+    monkeypatch.setattr(Run, "check", lambda self, layer: None)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for cut in (CUT, "2100-01-01"):
+            job = Run(spark, up_to(source, cut), AS_OF, datetime(2024, 1, 1), buckets=2, prefix="dealt_", clusters=4)
+            job.make("stg_products", "stg_transactions")
+            facts, products = job.tables["stg_transactions"], job._lookup("stg_products")
+            assert exchanges(enrich.transactions_enriched(facts, products)) == 0
+            assert exchanges(incremental.latest_by_key(facts, ["product_id", "store_id"], ["ingestion_date"])) == 0
+            assert exchanges(enrich.transactions_enriched(facts, job.tables["stg_products"])) > 0
+            found = job.make("int_transactions_enriched")
+        full = Views(source.raw, AS_OF)
+        assert rows(found) == rows(full["int_transactions_enriched"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_key_is_not_clustered(spark):
+    hot = sales(spark, [("hot" if i % 3 else f"k{i}", i, 1) for i in range(300)])
+    assert not tables.even(hot, ("k", 16)) and tables.even(hot, ("v", 16))
+    assert not tables.write_clustered(hot, "parts.hot", ("k", 16))
+    assert tables.read_table(spark, "parts.hot") is None
+    tables.publish(hot, "parts.hot", ["v"], 2, "ingestion_date", cluster=("k", 16))
+    assert tables._cluster_of(spark, "parts.hot") is None and spark.table("parts.hot").count() == 300
+
+
 def test_late_dimensions_change_what_a_full_refresh_changes(spark, source, monkeypatch):
     """A product and a store that come late, one that changes, one that goes: no rebuild, same rows."""
     monkeypatch.setattr(Run, "check", lambda self, layer: None)
