@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.operators.joins import sized
+from stockyard.operators.joins import possible_matches, sized
 
 
 def high_water_mark(target: DataFrame, column: str = "ingestion_date"):
@@ -130,8 +130,8 @@ def new_rows(
 
     With `null_safe` two NULLs are equal. Without it a row holding a NULL equals nothing, so it is
     always new, once per value of `file_column`. `prune_on` names a column by which to restrict
-    the target to the batch's range first. The comparison is one aggregate over both sides: copies
-    are reduced before the shuffle, however many there are.
+    the target to the batch's range first. A filter made from the batch keeps back the target's other rows. The
+    comparison is one aggregate over both sides: copies are reduced before the shuffle, however many there are.
     """
     columns = [c for c in batch.columns if c != file_column]
     if prune_on:
@@ -140,6 +140,8 @@ def new_rows(
     partial = None if null_safe else _any_null(batch, columns)
     if partial is not None:
         rows, held = rows.filter(~partial), held.filter(~partial)
+    # Of the target only what may be a batch row is shuffled.
+    held = possible_matches(held, rows, columns)
     fresh = (
         rows.withColumn("_held", F.lit(0))
         .unionByName(held.withColumn("_held", F.lit(1)))

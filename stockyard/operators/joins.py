@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A lookup side is sent to every executor only if its measured size stays below these bounds.
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
+# Words of a Bloom filter that is sent to every executor: at most 16 MB.
+FILTER_WORDS = 1 << 20
 
 
 # Sizes measured by this process, by application, plan, the files it reads and their bytes: what has grown is
@@ -59,3 +61,32 @@ def sized(
     """
     small = is_small(lookup if measured is None else measured, max_bytes, max_rows)
     return F.broadcast(lookup) if small else lookup
+
+
+# Bloom filters as rows: a key's word, and four of the word's 64 bits.
+
+
+def filter_word(keys: list[str], words: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(words)).alias("word")
+
+
+def filter_mask(keys: list[str]) -> Column:
+    places = F.xxhash64(*keys, F.lit(7))
+    one = F.lit(1).cast("long")
+    chosen = [F.shiftrightunsigned(places, 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(4)]
+    bits = [F.call_function("shiftleft", one, place) for place in chosen]
+    return bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3]).alias("mask")
+
+
+def possible_matches(df: DataFrame, wanted: DataFrame, columns: list[str], words: int = FILTER_WORDS) -> DataFrame:
+    """The rows of `df` that may equal a row of `wanted` in some columns, NULLs being equal: all that do, few others.
+
+    `wanted` becomes a Bloom filter of `words` rows at most, whatever its size, which is broadcast, so `df` is not
+    shuffled; the more rows are wanted, the more others pass.
+    """
+    if [df.schema[c].dataType for c in columns] != [wanted.schema[c].dataType for c in columns]:
+        return df
+    asked = wanted.select(filter_word(columns, words), filter_mask(columns)).groupBy("word").agg(F.bit_or("mask").alias("bits"))
+    own = df.select("*", filter_word(columns, words).alias("_word"), filter_mask(columns).alias("_mask"))
+    asked = F.broadcast(asked.withColumnsRenamed({"word": "_word", "bits": "_bits"}))
+    return own.join(asked, "_word").filter("_bits & _mask = _mask").select(*df.columns)

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stockyard.operators.incremental import (
     high_water_mark,
@@ -13,6 +14,7 @@ from stockyard.operators.incremental import (
     newer_than,
     upsert,
 )
+from stockyard.operators.joins import possible_matches
 
 SCHEMA = "k string, v bigint, ingestion_date timestamp_ntz"
 DAY = datetime(2024, 1, 1)
@@ -117,3 +119,23 @@ def test_pruning_the_target_changes_nothing(spark, held, given_rows):
     expected = sorted(set(given_rows) - set(held), key=repr)
     assert pairs(new_rows(target, batch)) == expected
     assert pairs(new_rows(target, batch, prune_on="b")) == expected
+
+
+def test_target_rows_that_cannot_match_are_not_shuffled(spark):
+    """All equal rows pass the filter, NULLs too, hardly any other does, and the filter is broadcast."""
+    columns = "a long, b string, c double"
+    target = spark.range(20_000).selectExpr("id AS a", "IF(id % 5 = 0, NULL, concat('x', id)) AS b", "IF(id % 7 = 0, NULL, id / 2) AS c")
+    batch = target.filter("a % 100 = 3 OR a % 500 = 35").unionByName(spark.createDataFrame([(None, None, None), (1, "y", 0.5)], columns))
+    names = ["a", "b", "c"]
+    near = possible_matches(target, batch, names)
+    equal = target.intersect(batch).count()
+    assert equal == 240 and near.intersect(batch).count() == equal
+    assert near.count() < equal + 40
+    # With few words the filter fills up: more rows pass, none is lost.
+    assert possible_matches(target, batch, names, words=64).intersect(batch).count() == equal
+    fresh = new_rows(target, batch)
+    assert {tuple(r) for r in fresh.collect()} == {(None, None, None), (1, "y", 0.5)}
+    plan = fresh._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    other = target.withColumn("a", F.col("a").cast("int"))
+    assert possible_matches(other, batch, names).count() == 20_000

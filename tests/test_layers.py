@@ -136,7 +136,7 @@ def test_filters_lose_no_key(spark):
     assert len(parts) == 16 and found.count() == 429
     nobody = sales(spark, [(f"k{i}x", i, 1) for i in range(2000)])
     words = int(spark.sql("SHOW TBLPROPERTIES parts.filtered ('words')").first().value)
-    asked = nobody.select(tables._word(["k"], words), tables._mask(["k"]))
+    asked = nobody.select(joins.filter_word(["k"], words), joins.filter_mask(["k"]))
     sketch = spark.table("parts.filtered__sketch").filter("word >= 0")
     assert sketch.join(asked, "word").filter("bits & mask = mask").count() < 60
 
