@@ -6,7 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from stockyard.operators import incremental, marts, quality
+from stockyard.operators import incremental, joins, marts, quality
 from stockyard.operators.joins import measured_size, sized
 from stockyard.plans.registry import QUERIES, views
 
@@ -51,6 +51,22 @@ def test_lookups_are_broadcast_only_below_the_bound(spark, settings):
     assert "SortMergeJoin" in plan(fact.join(sized(lookup, fact, max_rows=50), "id"))
 
 
+def test_a_lookup_that_has_grown_is_measured_again(spark, folder, monkeypatch):
+    """The same folder read again, or its one file overwritten by a larger one of the same name."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1000)
+    path = f"{folder}/lookup"
+    hinted = lambda: "ResolvedHint" in spark_plan(sized(spark.read.parquet(path)))
+    spark_plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    spark.range(10).write.parquet(path)
+    assert hinted() and hinted()
+    spark.range(3000).write.mode("append").parquet(path)
+    assert not hinted() and measured_size(spark.read.parquet(path))[0] == 3010
+    single = f"{folder}/one.parquet"
+    for rows in (10, 3000):
+        spark.range(rows).toPandas().to_parquet(single)
+        assert measured_size(spark.read.parquet(single))[0] == rows
+
+
 def test_facts_join_dimensions_without_a_shuffle(spark):
     text = plan(QUERIES["lane_efficiency"](spark, FOLDER))
     assert "SortMergeJoin" not in text
