@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from itertools import islice
 from typing import NamedTuple
@@ -36,8 +37,8 @@ UNREADABLE = (
     "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "CANNOT_MERGE_SCHEMAS", "UNABLE_TO_INFER_SCHEMA",
     "is not a Parquet file", "PARQUET_COLUMN_DATA_TYPE_MISMATCH", "MALFORMED_RECORD",
 )
-# Files whose names pass through the driver at once.
-FILES_PER_GROUP = 10_000
+# Files whose names pass through the driver at once, and footers that are read at once.
+FILES_PER_GROUP, AT_ONCE = 10_000, 16
 
 
 def stamp_lineage(df: DataFrame, source: str, now: datetime | None = None) -> DataFrame:
@@ -203,6 +204,29 @@ def _unreadable(error: Exception) -> bool:
     return isinstance(error, (ValueError, TypeError)) or any(c in told for c in UNREADABLE)
 
 
+def _can_be_opened(spark: SparkSession, path: str) -> None:
+    """Raise what the store says if a file's first byte cannot be had: then it is the store that fails."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
+    try:
+        stream.read()
+    finally:
+        stream.close()
+
+
+def _readable(spark: SparkSession, path: str, schema: T.StructType | None) -> bool:
+    """Whether a file's footer can be read and its columns go into the raw table."""
+    try:
+        found = spark.read.parquet(literal_path(path))
+        to_stored(found, stored_schema(schema or found.schema))
+    except (PySparkException, Py4JJavaError, ValueError, TypeError) as error:
+        _can_be_opened(spark, path)
+        if not _unreadable(error):
+            raise
+        return False
+    return True
+
+
 def load_folder(
     spark: SparkSession, landing: str, raw: str, ledger: str, schema: T.StructType | None = None,
     null_safe: bool = True, prune_on: str | None = None, files_per_group: int = FILES_PER_GROUP,
@@ -211,8 +235,10 @@ def load_folder(
 
     Files go in groups of bounded size: read, insert new rows, then mark. A run that dies between
     two steps is made good by the next one, which finds the rows already held. File names pass
-    through the driver one group at a time, rows never do. A group with a file that cannot be read is
-    halved until that file is alone; the others are loaded, it stays unmarked for the next run.
+    through the driver one group at a time, rows never do. Where a group cannot be read, the footers and
+    columns of its files are looked at, and those that are sound are loaded together; the others stay
+    unmarked for the next run. Only a group whose footers are all sound, and its pages not, is halved until the
+    file is alone. A store that does not answer ends the load.
     """
     configure(spark)
     files = file_inventory(spark, landing).filter("extension = 'parquet'")
@@ -236,7 +262,13 @@ def load_folder(
             except (PySparkException, Py4JJavaError, ValueError, TypeError) as error:
                 if not _unreadable(error):
                     raise
-                if len(some) == 1:
+                with ThreadPoolExecutor(AT_ONCE) as pool:
+                    sound = list(pool.map(lambda f: _readable(spark, f.path, schema), some))
+                good = [f for f, ok in zip(some, sound, strict=True) if ok]
+                if len(good) < len(some):
+                    bad += [f.path for f, ok in zip(some, sound, strict=True) if not ok]
+                    left += [good] if good else []
+                elif len(some) == 1:
                     bad.append(some[0].path)
                 else:
                     half = len(some) // 2

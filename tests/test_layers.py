@@ -219,6 +219,10 @@ def test_rows_of_stale_keys_are_replaced(spark):
     tables.replace_keys(sales(spark, [("a", 9, 1), (None, 8, 1)]), name, ["k"], stale)
     assert sorted((r.k or "", r.v) for r in tables.read_table(spark, name).collect()) == [("", 8), ("a", 9), ("b", 2)]
     assert len(tables.parts_of(spark, name)) == 2
+    unknown = spark.createDataFrame([(None,)], "k string")
+    tables.replace_keys(sales(spark, [(None, 7, 1)]), name, ["k"], unknown)
+    tables.replace_keys(sales(spark, []), name, ["k"], unknown.filter("k = 'x'"))
+    assert sorted((r.k or "", r.v) for r in tables.read_table(spark, name).collect()) == [("", 7), ("a", 9), ("b", 2)]
 
 
 def test_closed_versions_stay_where_they_are(spark):

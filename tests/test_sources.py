@@ -190,6 +190,28 @@ def test_load_stamp_in_another_session_zone(spark):
     assert found == datetime(2024, 1, 1, 13, 0)
 
 
+def test_bad_files_are_found_by_their_footers(spark, folder, monkeypatch):
+    """Two bad files of eleven cost one failed job; a store that fails is no bad file."""
+    schema, calls, insert = T.StructType.fromDDL("a string, b bigint"), [], landing.append_new
+    monkeypatch.setattr(landing, "append_new", lambda *a, **k: (calls.append(1), insert(*a, **k)))
+    for i in range(9):
+        spark.createDataFrame([(f"x{i}", i)], schema).coalesce(1).write.mode("append").parquet(f"{folder}/landing/in")
+    write(f"{folder}/landing/in/no.parquet", "no parquet")
+    spark.range(1).selectExpr("'y' AS a", "1L AS colour").coalesce(1).write.parquet(f"{folder}/landing/unknown")
+    found = landing.load_folder(spark, f"{folder}/landing", f"{folder}/table", f"{folder}/ledger", schema)
+    assert found.files == 9 and len(found.unreadable) == 2 and len(calls) <= 2
+    assert len(held(spark, folder)) == 9
+    spark.createDataFrame([("late", 1)], schema).coalesce(1).write.parquet(f"{folder}/landing/late")
+
+    def lost(spark, path):
+        raise ConnectionError("store lost")
+
+    monkeypatch.setattr(landing, "_can_be_opened", lost)
+    with pytest.raises(ConnectionError):
+        landing.load_folder(spark, f"{folder}/landing", f"{folder}/table", f"{folder}/ledger", schema)
+    assert len(held(spark, folder)) == 9
+
+
 def test_a_bad_file_does_not_stop_a_load(spark, folder):
     for i in range(5):
         df = spark.createDataFrame([(f"x{i}", i)], "a string, b bigint").coalesce(1)
