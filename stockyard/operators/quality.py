@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -140,6 +140,25 @@ def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]
     return _result_rows(_failures(df, checks, parents), checks)
 
 
+def observed(df: DataFrame, checks: list[Check], seen: Observation) -> DataFrame:
+    """`df` with the row checks among some checks counted while it is written, without a pass of their own."""
+    counts = [F.count_if(failing(c)).alias(f"f{i}") for i, c in enumerate(checks) if c.kind not in BY_VALUE]
+    return df.observe(seen, *counts) if counts else df
+
+
+def observed_failures(checks: list[Check], seen: Observation) -> dict[Check, int]:
+    """What was counted, once the rows are written."""
+    by_row = {c: f"f{i}" for i, c in enumerate(checks) if c.kind not in BY_VALUE}
+    counts = seen.get if by_row else {}
+    return {c: counts[name] for c, name in by_row.items()}
+
+
+def known_results(spark: SparkSession, failures: dict[Check, int]) -> DataFrame:
+    """Failures that are already known, as result rows."""
+    rows = [(c.table, c.column, c.kind, n) for c, n in failures.items()]
+    return spark.createDataFrame(rows, "table_name string, column_name string, check_name string, failures long")
+
+
 def run_suite(
     tables: dict[str, DataFrame], checks: list[Check], parents: dict[str, DataFrame] | None = None
 ) -> DataFrame:
