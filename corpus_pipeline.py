@@ -20,6 +20,9 @@ from stockyard.session import clear_scratch, scratch_folders
 
 # Small sources are repeated this often at most; the largest is used exactly once, so none is cut.
 MOST_EPOCHS = 4.0
+# Texts go to Python workers in batches of about so many bytes, however long they are: what a worker holds at
+# a time is a few times that.
+BATCH_BYTES = 8 << 20
 # Near duplicates share this many percent of their shingles of so many words, or more.
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
@@ -35,6 +38,7 @@ def _after_the_last(stage: Stage) -> Stage:
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         clear_scratch(spark, _left)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
         before = set(scratch_folders())
         out = stage(spark, docs, sf_dir)
         _left[:] = [f for f in scratch_folders() if f not in before]
