@@ -4,6 +4,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stockyard.operators.quality import ChecksFailed
@@ -243,6 +244,11 @@ def test_rows_of_stale_keys_are_replaced(spark):
     unknown = spark.createDataFrame([(None,)], "k string")
     tables.replace_keys(sales(spark, [(None, 7, 1)]), name, ["k"], unknown)
     tables.replace_keys(sales(spark, []), name, ["k"], unknown.filter("k = 'x'"))
+    tables.publish(sales(spark, [("x", 1, 1), ("y", 1, 1)]), "parts.gone", ["k"], 1, "ingestion_date")
+    tables.replace_keys(sales(spark, []), "parts.gone", ["k"], spark.createDataFrame([("x",), ("y",)], "k string"))
+    assert tables.read_table(spark, "parts.gone").count() == 0 and tables.parts_of(spark, "parts.gone") == []
+    tables.upsert_into(sales(spark, [("z", 1, 2)]), "parts.gone", ["k"], ["ingestion_date"])
+    assert held(spark, "parts.gone") == {"z": 1}
     assert sorted((r.k or "", r.v) for r in tables.read_table(spark, name).collect()) == [("", 7), ("a", 9), ("b", 2)]
 
 
@@ -257,6 +263,11 @@ def test_closed_versions_stay_where_they_are(spark):
     assert sorted(r.v for r in spark.table(name).collect()) == [0, 5, 7]
     tables.publish_history(sales(spark, [("a", 9, 3)]), name, closed)
     assert tables.open_rows(spark, name).count() == 0 and spark.table(name).count() == 3
+    tables.publish_history(sales(spark, []), name, closed)
+    assert spark.table(name).count() == 3
+    seen, checks = Observation(), [quality.Check("t", "k", "not_null")]
+    tables.write_table(quality.observed(sales(spark, []).filter("v > rand()"), checks, seen), "parts.none")
+    assert quality.observed_failures(checks, seen) == {checks[0]: 0}
 
 
 def exchanges(df):
