@@ -131,18 +131,26 @@ def _typed(value: Column, kind: T.DataType) -> Column:
     """A JSON value (VARIANT) as a column; of an object, every field must be known, at any depth."""
     if not isinstance(kind, T.StructType):
         return value.cast(kind)
-    return _record(value.cast("map<string,variant>"), kind)
+    # A variable of a lambda is computed once, an expression as often as it is named.
+    objects = F.transform(F.array(_lower_names(value.cast("map<string,variant>"))), lambda o: _known(o, kind))
+    records = F.transform(objects, lambda o: F.when(o.isNotNull(), F.struct(*_values(o, kind))))
+    return F.get(records, F.lit(0))
 
 
-def _record(fields: Column, schema: T.StructType) -> Column:
-    """An object's fields (a map from names to values) as a struct; its names are compared in lower case."""
-    lower = F.transform_keys(fields, lambda name, _: F.lower(name))
-    known = F.array(*[F.lit(f.name.lower()) for f in schema.fields])
-    unknown = F.array_except(F.map_keys(lower), known)
+def _lower_names(fields: Column) -> Column:
+    """An object's fields (a map from names to values), named in lower case."""
+    return F.transform_keys(fields, lambda name, _: F.lower(name))
+
+
+def _known(fields: Column, schema: T.StructType) -> Column:
+    """The fields, all of which must be in the schema."""
+    unknown = F.array_except(F.map_keys(fields), F.array(*[F.lit(f.name.lower()) for f in schema.fields]))
     told = F.concat(F.lit("fields not in the raw table: "), F.array_join(F.array_sort(unknown), ", "))
-    checked = F.when(F.size(unknown) > 0, F.raise_error(told).cast("map<string,variant>")).otherwise(lower)
-    values = [_typed(F.get(F.array(F.element_at(checked, f.name.lower())), F.lit(0)), f.dataType).alias(f.name) for f in schema.fields]
-    return F.when(fields.isNotNull(), F.struct(*values))
+    return F.when(F.size(unknown) > 0, F.raise_error(told).cast("map<string,variant>")).otherwise(fields)
+
+
+def _values(fields: Column, schema: T.StructType) -> list[Column]:
+    return [_typed(F.get(F.array(F.element_at(fields, f.name.lower())), F.lit(0)), f.dataType).alias(f.name) for f in schema.fields]
 
 
 def _read_json(
@@ -163,7 +171,10 @@ def _read_json(
     records = F.coalesce(many, F.when(F.size(one) > 0, one))
     wrong = F.raise_error(F.concat(F.lit("no JSON record or array of records in "), F.col(FILE)))
     read = whole.select(F.explode(F.coalesce(records, wrong.cast("array<map<string,variant>>"))).alias("fields"), FILE)
-    return read.select(_record(F.col("fields"), schema).alias("record"), FILE).select("record.*", FILE)
+    # Each step is a projection of its own: what all columns need is computed once per record, not once per column.
+    named = read.select(_lower_names(F.col("fields")).alias("fields"), FILE)
+    checked = named.select(_known(F.col("fields"), schema).alias("fields"), FILE)
+    return checked.select(*_values(F.col("fields"), schema), FILE)
 
 
 def read_csv(

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockyard.plans.registry import _write_json_arrays
 from stockyard.sources import files, jdbc, landing, schemas, tables
 from stockyard.streaming.loader import load_stream
 
@@ -144,6 +145,25 @@ def scans(df):
     return plan.count("Relation [")
 
 
+def test_json_names_are_lowered_once_per_record(spark, folder):
+    """Not once for every column, whichever depth the object has."""
+    schema = T.StructType.fromDDL("a bigint, b string, c string, place struct<city: string, code: bigint>")
+    write(f"{folder}/a.json", '[{"A": 1, "c": "x", "place": {"City": "Lagos"}}, null, {"b": "y", "place": null}]')
+    found = files.read_json(spark, folder, schema)
+    expected = [(1, None, "x", ("Lagos", None)), (None,) * 4, (None, "y", None, None)]
+    assert rows(found) == rows(spark.createDataFrame(expected, schema))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("transform_keys") == 2
+
+
+def test_json_records_without_an_id_lie_in_many_files(spark, folder):
+    records = spark.range(2000).select(F.lit(None).cast("string").alias("id"), F.col("id").alias("n"))
+    _write_json_arrays(records, f"{folder}/out", per_file=100)
+    sizes = [r[1] for r in spark.read.text(f"{folder}/out", wholetext=True).select("file", F.length("value")).collect()]
+    assert len(sizes) == 21 and max(sizes) < 3 * sum(sizes) / len(sizes)
+    found = files.read_json(spark, f"{folder}/out", T.StructType.fromDDL("id string, n bigint"))
+    assert rows(found) == rows(records)
+
+
 def test_one_scan_whatever_the_layouts(spark, folder, monkeypatch):
     """Forty orders of columns, cells that rows lack or have too many, a quoted header, a byte-order mark."""
     schema = T.StructType.fromDDL("a bigint, b string, c string, d string, e string")
