@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from stockyard.operators import incremental, joins, marts, quality
 from stockyard.operators.joins import measured_size, sized
 from stockyard.plans.registry import QUERIES, views
+from stockyard.session import configure
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -153,6 +154,17 @@ def test_views_build_each_table_once(spark):
     assert tables.lookup("stg_products") is tables.lookup("stg_products")
 
 
+def test_tasks_are_bounded_whatever_the_cluster_sets(spark, settings):
+    """Large settings are lowered, smaller ones stay, and a shuffle is dealt finely however few partitions are set."""
+    scanned, read = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    settings(files__maxPartitionBytes="128MB", adaptive__advisoryPartitionSizeInBytes="4m", shuffle__partitions="2")
+    configure(spark)
+    assert (spark.conf.get(scanned), spark.conf.get(read)) == (f"{16 << 20}b", "4m")
+    settings(adaptive__advisoryPartitionSizeInBytes="8k", adaptive__coalescePartitions__minPartitionSize="1k")
+    keys = spark.range(10_000).select(F.concat(F.lit("k"), "id").alias("k")).distinct()
+    assert keys.select(F.spark_partition_id()).distinct().count() > 2
+
+
 def test_the_given_tables_make_every_case(spark):
     """What the queries are compared on differs: counts to rank by, events without an id, each status."""
     tables = views(spark, FOLDER)
