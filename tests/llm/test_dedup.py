@@ -92,6 +92,28 @@ def test_jaccard_of_a_large_group_of_near_copies(spark, monkeypatch):
     assert same(jaccard_components(docs).collect(), jaccard(rows))
 
 
+def test_links_of_a_group_are_fewer_than_its_documents():
+    """Of near copies in which every pair is linked, and of two sorts that are not linked with each other, in some
+    documents per component that is known already."""
+    base = {s: np.arange(s, s + 100, dtype=np.uint64) for s in (0, 1000)}
+    own = lambda i: np.append(base[1000 * (i % 2)], np.uint64(5000 + i))
+    members = list(range(60))
+    group = group_join.Group(members, [i % 20 for i in members], [own(i) for i in members])
+    links = []
+    for i in range(60, 200):
+        links += [(i, m) for m in group.linked(100 + i // 4 * 2 + i % 2, own(i), 80).tolist()]
+    label = lambda i: i % 20 if i < 60 else 100 + i // 4 * 2 + i % 2
+    # As many as connect the 20 labels of the members and 70 of the queries in two components.
+    assert len(links) == 20 + 70 - 2
+    assert {m % 2 for i, m in links if i % 2} == {1} and {m % 2 for i, m in links if not i % 2} == {0}
+    at = {label(i): label(i) for i in range(200)}
+    for a, b in links:
+        low, high = sorted((at[label(a)], at[label(b)]))
+        assert low != high
+        at = {k: low if v == high else v for k, v in at.items()}
+    assert len(set(at.values())) == 2
+
+
 def test_size_classes_leave_room_for_every_difference():
     classes = size_classes(85, 3000)
     for (low, differences, slots), (after, _, _) in zip(classes, classes[1:]):
