@@ -136,6 +136,21 @@ def test_hot_key_aggregates_reduce_before_the_shuffle(spark):
         assert "Window" not in text
 
 
+@pytest.mark.parametrize("query", ["lane_efficiency", "shipment_performance", "transactions_enriched", "inventory_health"])
+def test_copies_go_in_the_shuffle_of_the_first_large_lookup(spark, settings, monkeypatch, query):
+    """Beyond the broadcast bound facts are dealt once for both, a hot key to several places; the rows are the same."""
+    expected = sorted(map(str, QUERIES[query](spark, FOLDER).collect()))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    found = QUERIES[query](spark, FOLDER)
+    key = "store_id" if query == "lane_efficiency" else "product_id"
+    dealt = [line for line in plan(found).splitlines() if f"hashpartitioning({key}#" in line]
+    # The facts by the removal of copies, the lookup by the join; no other shuffle of the facts by that key.
+    assert [joins.PLACE in line for line in dealt] == [True, True]
+    assert sum("REPARTITION_BY_COL" in line for line in dealt) == 1
+    assert sorted(map(str, found.collect())) == expected
+
+
 def test_regional_sales_sum_before_joining(spark):
     schema = "store_id string, region string"
     stores = spark.createDataFrame([("s", "N")], schema)
