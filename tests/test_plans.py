@@ -151,6 +151,17 @@ def test_copies_go_in_the_shuffle_of_the_first_large_lookup(spark, settings, mon
     assert sorted(map(str, found.collect())) == expected
 
 
+def test_only_rows_without_a_parent_are_compared_as_a_whole(spark, settings):
+    """Copies are removed after the semi-join with the values that have no parent, however large the parent."""
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    child = spark.range(0, 4000, 1, 4).select((F.col("id") % 10).alias("k"), (F.col("id") % 400).alias("v"), F.lit(None).cast("long").alias("n"))
+    child = child.unionByName(spark.range(3).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("v"), F.lit(1).cast("long").alias("n")))
+    found = quality.relationships(child.distinct(), "k", spark.range(2, 50).union(spark.range(3, 4)), "id")
+    tree = found._jdf.queryExecution().executedPlan().toString()
+    assert tree.index("LeftSemi") > tree.index("Exchange hashpartitioning(k#", tree.index("v#"))
+    assert {tuple(r) for r in found.collect()} == {(0, 40), (1, 40)}
+
+
 def test_regional_sales_sum_before_joining(spark):
     schema = "store_id string, region string"
     stores = spark.createDataFrame([("s", "N")], schema)
