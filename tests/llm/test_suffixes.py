@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -77,6 +78,32 @@ def test_woven_texts(spark, monkeypatch, seed, most, step, together):
     assert windows == sum(max(0, len(t) - 99) for t in texts)
 
 
+def test_texts_are_shuffled_once_however_many_rounds(spark, monkeypatch, folder):
+    """All three rounds are needed; no plan but that of the texts' table may have a text in a shuffle."""
+    monkeypatch.setattr(suffix_dedup, "MOST", 1)
+    plans = []
+
+    def seen(write):
+        def wrapped(df, *args):
+            plans.append(df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+            return write(df, *args)
+
+        return wrapped
+
+    for name in ("stored", "clustered"):
+        if hasattr(suffix_dedup, name):
+            monkeypatch.setattr(suffix_dedup, name, seen(getattr(suffix_dedup, name)))
+    rows = _woven(5, 120)
+    spark.createDataFrame(rows + [(200, rows[0][1])], "doc_id long, text string").write.parquet(f"{folder}/docs")
+    docs = spark.read.parquet(f"{folder}/docs")
+    found = without_repeated_strings(docs, length=100, gram=16)
+    seen(lambda df: df)(found)
+    shuffled = [i for plan in plans for i in re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", plan)]
+    assert len(shuffled) > 10
+    assert sum(bool(re.search(r"\btext#", i)) for i in shuffled) == 1
+    assert same(found.collect(), plain(rows + [(200, rows[0][1])], 100))
+
+
 def test_a_row_is_a_document_whatever_its_identifier(spark):
     text = "".join(random.Random(9).choice("abcdef gh") for _ in range(900))
     rows = [(1, text), (1, text[:500]), (None, text[100:]), (None, None), (2, "short"), (2, "short")]
