@@ -59,6 +59,19 @@ def test_suite_and_gate(spark, table):
     q.gate(results.filter("failures = 0"))
 
 
+def test_checks_are_counted_in_compiled_code_and_without_a_join(spark, table):
+    """Of whatever number: row checks are told by several numbers where one has too few bits."""
+    checks = [C("t", "kind", "accepted_values", (f"v{k}",)) for k in range(2 * q.BITS)]
+    checks += [C("t", "kind", "accepted_values", ("x",)), C("t", "id", "unique"), C("t", "id", "relationships", parent=("p", "id"))]
+    parents = {"p": spark.createDataFrame([("b",), (None,), ("b",)], "id string")}
+    results = q.run_checks(table, checks, parents)
+    assert [r.failures for r in results.collect()] == [2] * 2 * q.BITS + [1, 1, 2]
+    results = q.run_checks(table, [C("t", "id", "not_null"), *checks[-3:]], parents)
+    plan = results._jdf.queryExecution().toString()
+    assert "HashAggregate" in plan
+    assert "lambda" not in plan and "Join" not in plan
+
+
 def test_empty_table_passes(spark, table):
     checks = [C("t", "id", "unique"), C("t", "id", "relationships", parent=("p", "id")), C("t", "n", "not_null")]
     results = q.run_suite({"t": table.limit(0)}, checks, {"p": table})
