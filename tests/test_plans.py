@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from stockyard.operators import incremental, joins, marts, quality
 from stockyard.operators.joins import measured_size, sized
+from stockyard.plans.checks import LAYERS
+from stockyard.plans.models import HANDED_ON, MODELS, NEEDED
 from stockyard.plans.registry import QUERIES, views
 from stockyard.session import configure
 
@@ -151,6 +153,41 @@ def test_copies_go_in_the_shuffle_of_the_first_large_lookup(spark, settings, mon
     assert sorted(map(str, found.collect())) == expected
 
 
+def test_checks_of_intermediate_tables_shuffle_what_they_look_at(spark, settings, monkeypatch):
+    """Beyond the broadcast bound both tables of shipments are dealt alike, without text that is only checked."""
+    expected = sorted(map(tuple, QUERIES["dq_intermediate"](spark, FOLDER).collect()))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    found = QUERIES["dq_intermediate"](spark, FOLDER)
+    dealt = [line for line in plan(found).splitlines() if "REPARTITION_BY_COL" in line]
+    assert [sum(f"{joins.PLACE}_{key}" in line for line in dealt) for key in ("store_id", "product_id")] == [2, 2]
+    assert sorted(map(tuple, found.collect())) == expected
+
+
+def test_handed_on_text_has_only_checks_that_a_stand_in_passes_alike(spark):
+    kinds = {(c.table, c.column): set() for c in LAYERS["intermediate"]}
+    for c in LAYERS["intermediate"]:
+        kinds[c.table, c.column].add(c.kind)
+    for reader in (m for m in MODELS.values() if m.layer == "intermediate"):
+        handed = {c for columns in HANDED_ON.get(reader.name, {}).values() for c in columns}
+        handed |= set(NEEDED[reader.inputs[0]].handed_on) if reader.inputs[0] in NEEDED else set()
+        assert all(kinds.get((reader.name, c), set()) <= {"not_null", "no_whitespace"} for c in handed)
+    texts = spark.createDataFrame([(None,), ("",), (" a",), ("a ",), ("a b",), (" ",)], "t string")
+    short = texts.withColumn("t", quality.stand_in("t"))
+    for check in (quality.not_null, quality.no_whitespace):
+        assert check(short, "t").count() == check(texts, "t").count() > 0
+
+
+def test_narrowly_dealt_rows_are_told_apart_by_all_columns(spark):
+    """Rows that differ only in a column that is not kept, or in where a NULL stands, are different rows."""
+    rows = [("k", "a", None, 1), ("k", None, "a", 1), ("k", "a", None, 1), ("k", "a", "b", 1), ("k", "a", "b", 2), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "k string, x string, y string, n int")
+    found = joins.dealt_narrow(df, "k", ("k",), {"x": quality.stand_in("x")})
+    told = sorted(map(str, found.select("k", "x", "y", "n").collect()))
+    expected = df.distinct().withColumn("x", quality.stand_in("x"))
+    assert told == sorted(map(str, expected.collect())) and len(told) == 5
+
+
 def test_only_rows_without_a_parent_are_compared_as_a_whole(spark, settings):
     """Copies are removed after the semi-join with the values that have no parent, however large the parent."""
     settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
