@@ -1,5 +1,6 @@
 import sys
 import tempfile
+import time
 from pathlib import Path
 
 import pytest
@@ -22,6 +23,24 @@ def spark():
     session.stop()
 
 
+@pytest.fixture
+def shuffle_files(spark):
+    """The files that shuffles have left; with `gone`, waits a while until there are none but these."""
+
+    def found(gone=None):
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        for _ in range(50):
+            files = manager.getAllFiles()
+            names = {files.apply(i).getName() for i in range(files.size())}
+            names = {n for n in names if n.startswith("shuffle_")}
+            if gone is None or names <= gone:
+                break
+            time.sleep(0.1)
+        return names
+
+    return found
+
+
 @pytest.fixture
 def folder():
     return tempfile.mkdtemp(prefix="run-")

@@ -15,6 +15,7 @@ from stockyard.operators.incremental import without_key
 from stockyard.plans import layers
 from stockyard.plans.checks import LAYERS
 from stockyard.plans.models import MODELS, Views
+from stockyard.session import scratch_folders
 from stockyard.sources import tables
 from stockyard.sources.schemas import INCOMING
 
@@ -95,6 +96,36 @@ def test_failed_checks_stop_the_run(spark, source):
     assert any(kind == "relationships" for _, _, kind, _ in failed.value.failures)
 
 
+def test_scratch_and_shuffles_are_gone_with_the_step_that_needs_them(spark, source, shuffle_files):
+    """First load, upsert, full refresh and mart; of the tables' files none are larger than they need be."""
+    kept, scratch = shuffle_files(), set(scratch_folders())
+    for cut in (CUT, "2100-01-01"):
+        job = Run(spark, up_to(source, cut), AS_OF, datetime(2024, 1, 1), buckets=4, prefix="brief_", enforce=False)
+        job.make("stg_products", "stg_transactions", "int_transactions_enriched")
+    job.full_refresh = True
+    table = job.make("int_transactions_enriched", "fct_transactions")
+    assert set(scratch_folders()) == scratch
+    assert not shuffle_files(gone=kept) - kept
+    assert all(f.endswith(".zstd.parquet") for f in [*table.inputFiles(), *job.tables["stg_transactions"].inputFiles()])
+
+
+@pytest.mark.parametrize("few", [10_000, 1])
+def test_published_rows_are_reduced_in_the_shuffle_that_deals_them(spark, few, monkeypatch):
+    """Copies, older rows of a key and rows without one; also where a key fills too much of the batch."""
+    name, seen, put = f"parts.reduced_{few}", [], tables._create
+    monkeypatch.setattr(joins, "FEW_ROWS", few)
+    monkeypatch.setattr(tables, "_create", lambda rows, *args, **named: (seen.append(rows), put(rows, *args, **named))[1])
+    batch = sales(spark, [(f"k{i % 50}", i, i % 7 + 1) for i in range(300)] + [("hot", 1, d % 3 + 1) for d in range(300)]
+                  + [(None, i % 20, 1) for i in range(60)] + [("?", i % 30, 1) for i in range(60)])
+    keyless = without_key(batch, ["k"], {"k": "?"})
+    tables.publish(batch, name, ["k"], 8, "ingestion_date", keyless, order=["ingestion_date"])
+    assert rows(tables.read_table(spark, name)) == rows(incremental.reduced(batch, ["k"], ["ingestion_date"], keyless))
+    assert spark.table(name).groupBy("k").agg(F.countDistinct("_part").alias("n")).filter("k LIKE 'k%' AND n > 1").isEmpty()
+    plan = seen[0]._jdf.queryExecution().toString()
+    assert ("REBALANCE" in plan) == (few == 1)
+    assert tables.published_mark(spark, name) == rows(batch.agg(F.max(F.col("ingestion_date").cast("string"))))[0][0]
+
+
 def test_written_tables_are_judged_while_they_are_written(spark, source, monkeypatch):
     """The row checks of a mart's tables need no pass; the counts are those of one."""
     job = Run(spark, source.raw, AS_OF, datetime(2024, 1, 1), buckets=2, prefix="judged_", enforce=False)

@@ -256,3 +256,17 @@ def test_lookups_are_measured_once(spark):
     lookup = spark.range(100).select(F.col("id").alias("k"))
     first = measured_size(lookup)
     assert measured_size(spark.range(100).select(F.col("id").alias("k"))) == first == (100, first[1])
+
+
+def test_a_fact_that_counts_different_values_is_shuffled_once(spark, monkeypatch):
+    """Unless one group would fill a task."""
+    enriched = views(spark, FOLDER)["int_transactions_enriched"].localCheckpoint()
+    keys = MODELS["fct_transactions"].grouped
+    plain, dealt = marts.fct_transactions(enriched), marts.fct_transactions(joins.grouped(enriched, keys))
+    assert plan(dealt).count(") Exchange") < plan(plain).count(") Exchange")
+    as_rows = lambda df: sorted(map(str, df.collect()))
+    assert as_rows(dealt) == as_rows(plain)
+    monkeypatch.setattr(joins, "FEW_ROWS", 1)
+    one = enriched.withColumns({k: F.lit("x") for k in keys})
+    assert joins.grouped(one, keys) is one
+    assert joins.grouped(enriched.limit(0), keys).count() == 0
