@@ -460,3 +460,17 @@ def test_published_versions(spark):
     assert spark.table("shop.copy").count() == 3
     tables.write_view(spark.range(4), "passing")
     assert spark.table("passing").count() == 4
+
+
+def test_scanned_json_lies_compressed(spark):
+    """Its text would take most of the disk that the scan needs; every record is read from its file."""
+    from stockyard.plans.registry import QUERIES
+    from stockyard.session import scratch_folders
+
+    before = set(scratch_folders())
+    read = QUERIES["json_scan"](spark, "/root/testdata/sf0.001")
+    (path,) = set(scratch_folders()) - before
+    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    size = sum(f.stat().st_size for f in Path(path.removeprefix("file:")).rglob("part-*"))
+    assert size * 4 < texts.agg(F.sum(F.octet_length("value"))).first()[0]
+    assert read.count() == texts.agg(F.sum(F.call_function("json_array_length", "value"))).first()[0] > 6000
