@@ -72,6 +72,17 @@ def test_checks_are_counted_in_compiled_code_and_without_a_join(spark, table):
     assert "lambda" not in plan and "Join" not in plan
 
 
+def test_shuffles_of_a_suite_do_not_add_up(spark, table, shuffle_files, monkeypatch):
+    """Tables are checked one after another, and each one's files are gone when it is done."""
+    kept, checks, run = shuffle_files(), [C(t, "id", "unique") for t in "abc"], q.once
+    left = []
+    monkeypatch.setattr(q, "once", lambda df, purpose: (left.append(shuffle_files(gone=kept) - kept), run(df, purpose))[1])
+    results = q.run_suite(dict.fromkeys("abc", table), checks, apart=True)
+    assert [r.failures for r in results.collect()] == [1, 1, 1]
+    assert left == [set()] * 3 and not shuffle_files(gone=kept) - kept
+    assert q.run_suite(dict.fromkeys("abc", table), checks).collect() == results.collect() and len(left) == 3
+
+
 def test_empty_table_passes(spark, table):
     checks = [C("t", "id", "unique"), C("t", "id", "relationships", parent=("p", "id")), C("t", "n", "not_null")]
     results = q.run_suite({"t": table.limit(0)}, checks, {"p": table})
