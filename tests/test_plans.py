@@ -270,3 +270,15 @@ def test_a_fact_that_counts_different_values_is_shuffled_once(spark, monkeypatch
     one = enriched.withColumns({k: F.lit("x") for k in keys})
     assert joins.grouped(one, keys) is one
     assert joins.grouped(enriched.limit(0), keys).count() == 0
+
+
+@pytest.mark.parametrize("layer", ["staging", "marts"])
+def test_large_tables_are_checked_one_after_another(spark, layer, monkeypatch, shuffle_files):
+    """Beyond the broadcast bound no more than one table's shuffles are there at once; the results are the same."""
+    expected = sorted(map(tuple, QUERIES[f"dq_{layer}"](spark, FOLDER).collect()))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    kept, left, run = shuffle_files(), [], quality.once
+    monkeypatch.setattr(quality, "once", lambda df, purpose: (left.append(shuffle_files(gone=kept) - kept), run(df, purpose))[1])
+    found = QUERIES[f"dq_{layer}"](spark, FOLDER)
+    assert sorted(map(tuple, found.collect())) == expected
+    assert left == [set()] * len({c.table for c in LAYERS[layer]})
